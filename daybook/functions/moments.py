@@ -20,15 +20,15 @@ _MINUTE = r"[0-9]{1,2}:[0-9]{1,2}"
 _OFFSET = r"[+-](?:[0-9]{4}|[0-9]{1,2}(?::[0-9]{1,2})?)"
 USUAL_LAYOUT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"(?:T[0-9]{2}:[0-9]{2}:[0-5][0-9]Z| [0-9]{2}:[0-9]{2}(?::[0-5][0-9])?)?\z"
+    r"(?:T[0-9]{2}:[0-9]{2}:[0-5][0-9]Z| [0-9]{2}:[0-9]{2}:[0-5][0-9](?: UTC)?)\z"
 )
-OTHER_LAYOUTS = (
+ANY_LAYOUT = (
     rf"(?U)^{_DAY}"
     rf"(?:[Tt]{_MINUTE}:[0-9]{{1,2}}(?:[Zz]|{_OFFSET})"
     rf"|\s+{_MINUTE}(?::[0-9]{{1,2}}(?:Z|{_OFFSET})?)?)?\z"
 )
 UTC_SUFFIX = r"(?U)\s*UTC\s*$"
-LEAP_SECOND = r"([T ][0-9]{1,2}:[0-9]{1,2}):6[01]"
+LEAP_SECOND = r"(?U)(?<=[Tt\s][0-9]{1,2}:[0-9]{1,2}:)6"
 DATE_LAYOUT = r"^[0-9]{4}([-/])[0-9]{1,2}\1[0-9]{1,2}\z"
 
 # Instants a 64-bit nanosecond clock can hold. Later or earlier
@@ -41,30 +41,26 @@ LATEST_DATE = "2262-04-11"
 
 def parse_timestamp(text: Column) -> Column:
     """Timestamp text as an instant, or null."""
-    body = F.when(text.contains("UTC"), F.regexp_replace(text, UTC_SUFFIX, "")).otherwise(text)
-    instant = F.when(body.rlike(USUAL_LAYOUT), body.try_cast("timestamp")).when(
-        body.rlike(OTHER_LAYOUTS), _instant_of_other_layout(body)
+    # "No match" extracts as empty text, which casts to null.
+    body = F.regexp_extract(F.regexp_replace(text, UTC_SUFFIX, ""), ANY_LAYOUT, 0)
+    body = F.upper(F.regexp_replace(body, r"(?U)\s+", " "))
+    whole = F.regexp_replace(body, LEAP_SECOND + "[01]", "59").try_cast("timestamp")
+    beyond = (
+        F.when(text.rlike(LEAP_SECOND + "0"), F.expr("interval 1 second"))
+        .when(text.rlike(LEAP_SECOND + "1"), F.expr("interval 2 second"))
+        .otherwise(F.expr("interval 0 second"))
     )
+    instant = F.when(text.rlike(USUAL_LAYOUT), text.try_cast("timestamp")).otherwise(whole + beyond)
     in_range = instant.between(
         F.lit(EARLIEST_INSTANT).cast("timestamp"), F.lit(LATEST_INSTANT).cast("timestamp")
     )
     return F.when(in_range, instant)
 
 
-def _instant_of_other_layout(body: Column) -> Column:
-    tidy = F.upper(F.regexp_replace(body, r"(?U)\s+", " "))
-    carried = F.regexp_replace(tidy, LEAP_SECOND, "$1:59").try_cast("timestamp")
-    return (
-        F.when(tidy.rlike(LEAP_SECOND.replace("[01]", "0")), carried + F.expr("interval 1 second"))
-        .when(tidy.rlike(LEAP_SECOND.replace("[01]", "1")), carried + F.expr("interval 2 seconds"))
-        .otherwise(tidy.try_cast("timestamp"))
-    )
-
-
 def parse_date(text: Column) -> Column:
     """Calendar date text, year first with dashes or slashes, or null."""
-    body = stripped(text)
-    day = F.when(body.rlike(DATE_LAYOUT), F.translate(body, "/", "-").try_cast("date"))
+    body = F.regexp_extract(stripped(text), DATE_LAYOUT, 0)
+    day = F.translate(body, "/", "-").try_cast("date")
     in_range = day.between(F.lit(EARLIEST_DATE).cast("date"), F.lit(LATEST_DATE).cast("date"))
     return F.when(in_range, day)
 

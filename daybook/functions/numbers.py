@@ -2,7 +2,10 @@
 
 Most values in a real export are plain digits. Those take a short path (one
 anchored ASCII pattern, one cast); only the rest pays for the clean-up chain.
-Anything that is not a number ends as null, under ANSI mode too.
+Every step of the chain uses the one before it exactly once: an expression that
+repeats its input is copied by the planner at each use, and a few such steps on
+five columns make code too large to compile. Anything that is not a number ends
+as null, under ANSI mode too.
 """
 
 from __future__ import annotations
@@ -17,17 +20,24 @@ CURRENCY_SYMBOLS = "$€£¥₹₽₺₴₦₱₲₵₡₭₮₸"
 CURRENCY_CODE = r"(?U)\b[A-Z]{3}\b"
 THOUSANDS_MARK = rf"(?U)(?<=\d)[,{WHITESPACE_CLASS}](?=\d{{3}}(?!\d))"
 ACCOUNTING_NEGATIVE = r"^\((.*)\)$"
+ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
 
-PLAIN_AMOUNT = r"^-?[0-9]+(?:\.[0-9]+)?\z"
+# Digits and exponents are limited so that no match can overflow to infinity.
+PLAIN_AMOUNT = r"^-?[0-9]{1,200}(?:\.[0-9]+)?\z"
 PLAIN_INTEGER = r"^[+-]?[0-9]+\z"
-NUMBER = r"^[+-]?(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?\z"
+NUMBER = (
+    r"^[+-]?(?:[0-9]{1,200}\.?[0-9]*|\.[0-9]+)"
+    r"(?:[eE](?:\+?0*[0-9]{1,2}|-[0-9]+))?\z"
+)
 
-ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
+# Stands for the opening parenthesis of a negative amount; a private-use
+# character, swapped out of the input first so that no value can forge it.
+_NEGATIVE = ""
 
 
-def _finite_double(text: Column) -> Column:
-    value = F.when(text.rlike(NUMBER), text.try_cast("double"))
-    return F.when(F.abs(value) < float("inf"), value)
+def _number(text: Column) -> Column:
+    """The double a text spells, or null; "no match" extracts as empty text."""
+    return F.regexp_extract(text, NUMBER, 0).try_cast("double")
 
 
 def parse_money(text: Column) -> Column:
@@ -36,19 +46,22 @@ def parse_money(text: Column) -> Column:
     Parentheses around the whole value negate it. A comma or blank counts as a
     thousands mark only in front of exactly three digits, so ``1,25`` is null.
     """
-    negated = text.rlike(ACCOUNTING_NEGATIVE)
-    body = F.regexp_replace(text, ACCOUNTING_NEGATIVE, "$1")
+    body = F.translate(text, _NEGATIVE, "?")
+    body = F.regexp_replace(body, ACCOUNTING_NEGATIVE, f"{_NEGATIVE}$1")
     body = F.regexp_replace(body, CURRENCY_CODE, "")
     body = F.translate(body, CURRENCY_SYMBOLS, "")
     body = F.regexp_replace(body, THOUSANDS_MARK, "")
-    amount = _finite_double(stripped(body))
-    decorated = F.when(negated, -amount).otherwise(amount)
-    return F.when(text.rlike(PLAIN_AMOUNT), _finite_double(text)).otherwise(decorated)
+    gap = rf"(?U)^{_NEGATIVE}[{WHITESPACE_CLASS}]*"
+    body = F.regexp_replace(body, rf"{gap}-(?=[0-9.])", "")
+    body = F.regexp_replace(body, rf"{gap}\+?(?=[0-9.])", "-")
+    return F.when(text.rlike(PLAIN_AMOUNT), text.try_cast("double")).otherwise(
+        _number(stripped(body))
+    )
 
 
 def parse_counter(text: Column) -> Column:
     """Count text as a bigint; a fraction is cut off, anything else is null."""
     body = F.btrim(text, F.lit(ASCII_WHITESPACE))
     return F.when(body.rlike(PLAIN_INTEGER), body.try_cast("bigint")).otherwise(
-        _finite_double(body).try_cast("bigint")
+        _number(body).try_cast("bigint")
     )

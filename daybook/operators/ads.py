@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from daybook.contracts import (
     AD_FIELDS,
+    AD_REASONS,
     INVALID_AD_DATE,
     INVALID_SPEND,
     MULTI_DAY,
@@ -22,7 +23,7 @@ from daybook.functions import (
     parse_money,
     to_reporting_currency,
 )
-from daybook.operators.quality import accepted, first_reason, flag_missing
+from daybook.operators.quality import accepted, first_reason, flag_missing, with_reason
 from daybook.params import Params
 
 
@@ -31,8 +32,11 @@ def flag_ads(rows: DataFrame) -> DataFrame:
     return flag_missing(rows, [f.name for f in AD_FIELDS if f.required])
 
 
-def check_ads(flagged: DataFrame) -> DataFrame:
-    """Parse the ad columns and flag rows that do not describe one day's spend."""
+def check_ads(flagged: DataFrame, observation: Observation | str = "ads_checked") -> DataFrame:
+    """Parse the ad columns and flag rows that do not describe one day's spend.
+
+    Row counts per reason are collected in ``observation``.
+    """
     parsed = flagged.withColumns(
         {
             "__start": parse_date(F.col("reporting_start")),
@@ -40,15 +44,14 @@ def check_ads(flagged: DataFrame) -> DataFrame:
             "__spend_amount": parse_money(F.col("spend_amount")),
         }
     )
-    return parsed.withColumn(
-        REASON,
-        F.coalesce(
-            F.col(REASON),
-            first_reason(
-                (INVALID_AD_DATE, F.col("__start").isNull() | F.col("__end").isNull()),
-                (MULTI_DAY, F.col("__start") != F.col("__end")),
-                (INVALID_SPEND, F.col("__spend_amount").isNull()),
-            ),
+    return with_reason(
+        parsed,
+        observation,
+        AD_REASONS,
+        first_reason(
+            (INVALID_AD_DATE, F.col("__start").isNull() | F.col("__end").isNull()),
+            (MULTI_DAY, F.col("__start") != F.col("__end")),
+            (INVALID_SPEND, F.col("__spend_amount").isNull()),
         ),
     )
 

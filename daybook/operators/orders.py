@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from daybook.contracts import (
     INVALID_MONEY,
     ORDER_FIELDS,
     ORDER_MONEY,
+    ORDER_REASONS,
     REASON,
 )
 from daybook.functions import (
@@ -21,7 +22,7 @@ from daybook.functions import (
     status_key,
     to_reporting_currency,
 )
-from daybook.operators.quality import accepted, first_reason, flag_missing
+from daybook.operators.quality import accepted, first_reason, flag_missing, with_reason
 from daybook.params import Params
 from daybook.session import require_utc
 
@@ -33,10 +34,13 @@ def flag_orders(rows: DataFrame) -> DataFrame:
     return flag_missing(rows, [f.name for f in ORDER_FIELDS if f.required])
 
 
-def check_orders(flagged: DataFrame, params: Params) -> DataFrame:
+def check_orders(
+    flagged: DataFrame, params: Params, observation: Observation | str = "orders_checked"
+) -> DataFrame:
     """Parse the order columns and flag rows that cannot count as revenue.
 
-    Raw columns stay; parsed ones are added under a ``__`` prefix.
+    Raw columns stay; parsed ones are added under a ``__`` prefix. Row counts
+    per reason are collected in ``observation`` when the result is written.
     """
     require_utc(flagged.sparkSession)
     raw_moment = F.col("created_at")
@@ -52,15 +56,14 @@ def check_orders(flagged: DataFrame, params: Params) -> DataFrame:
     for name in MUST_PARSE:
         unusable_money |= F.col(f"__{name}").isNull()
     recognised = F.col("__financial_status").isin(sorted(params.revenue_statuses))
-    return parsed.withColumn(
-        REASON,
-        F.coalesce(
-            F.col(REASON),
-            first_reason(
-                (INVALID_CREATED_AT, F.col("__created_at_utc").isNull()),
-                (INVALID_MONEY, unusable_money),
-                (EXCLUDED_STATUS, ~F.coalesce(recognised, F.lit(False))),
-            ),
+    return with_reason(
+        parsed,
+        observation,
+        ORDER_REASONS,
+        first_reason(
+            (INVALID_CREATED_AT, F.col("__created_at_utc").isNull()),
+            (INVALID_MONEY, unusable_money),
+            (EXCLUDED_STATUS, ~F.coalesce(recognised, F.lit(False))),
         ),
     )
 

@@ -64,6 +64,20 @@ def first_reason(*tests: tuple[str, Column]) -> Column:
     return F.coalesce(*(F.when(holds, F.lit(reason)) for reason, holds in tests))
 
 
+def with_reason(df: DataFrame, label: str, reasons: Sequence[str], reason: Column) -> DataFrame:
+    """Set the reason of rows that have none yet, and count reasons in passing.
+
+    The counts reach query listeners under ``label`` at no extra cost. They also
+    keep Spark from copying a filter on the reason, and with it all the parsing
+    the reason depends on, below the projection that parses already.
+    """
+    return df.withColumn(REASON, F.coalesce(F.col(REASON), reason)).observe(
+        label,
+        F.count(F.lit(1)).alias("received"),
+        *(F.count_if(F.col(REASON) == name).alias(name) for name in reasons),
+    )
+
+
 def flag_missing(df: DataFrame, required: Sequence[str]) -> DataFrame:
     """Flag rows without any value, then rows with a blank required value.
 

@@ -10,11 +10,8 @@ from pyspark.sql import functions as F
 
 from daybook.contracts import (
     AD_FIELDS,
-    AD_REASONS,
     DUPLICATE_ORDER,
     ORDER_FIELDS,
-    ORDER_REASONS,
-    REASON,
     T_ADS_CLEAN,
     T_ADS_DAILY,
     T_ADS_STAGED,
@@ -118,45 +115,34 @@ def run(
     for source in (orders, ads):
         enforce_threshold(source.report, float(params.dq_rejection_threshold))
 
-    clean_orders, orders_report = _store_clean(
-        check_orders(orders.rows, params),
-        lambda checked: orders_clean(checked, params),
-        store,
-        T_ORDERS_CLEAN,
-        orders.report,
-        ORDER_REASONS,
-    )
-    clean_ads, ads_report = _store_clean(
-        check_ads(ads.rows),
-        lambda checked: ads_clean(checked, params),
-        store,
-        T_ADS_CLEAN,
-        ads.report,
-        AD_REASONS,
-    )
+    orders_seen, ads_seen = Observation(), Observation()
+    checked_orders = check_orders(orders.rows, params, orders_seen)
+    checked_ads = check_ads(ads.rows, ads_seen)
+    clean_orders = store.write(orders_clean(checked_orders, params), T_ORDERS_CLEAN)
+    clean_ads = store.write(ads_clean(checked_ads, params), T_ADS_CLEAN)
 
     orders_by_day = store.write(orders_daily(clean_orders, unique_orders=True), T_ORDERS_DAILY)
     ads_by_day = store.write(ads_daily(clean_ads), T_ADS_DAILY)
     store.write(model_from_daily(orders_by_day, ads_by_day, params), T_MODEL)
-    return RunResult(orders_report, ads_report, orders.header, ads.header, store)
+    return RunResult(
+        _final_report(orders, orders_seen, clean_orders, checked_orders),
+        _final_report(ads, ads_seen, clean_ads, checked_ads),
+        orders.header,
+        ads.header,
+        store,
+    )
 
 
-def _store_clean(checked, project, store, table, ingested, reasons):
-    """Write the clean table and count the rejected rows in the same pass.
+def _final_report(
+    source: Ingested, seen: Observation, clean: DataFrame, checked: DataFrame
+) -> DQReport:
+    """The report of a whole source, from the counters of the write that just ran.
 
     The counters sit in the writing stage, where Spark counts each task once.
-    Should they still not add up to the rows received, count again on their own.
+    Should they not add up to the rows received and kept, count again instead.
     """
-    seen = Observation()
-    counted = checked.observe(
-        seen,
-        F.count(F.lit(1)).alias("received"),
-        *(F.count_if(F.col(REASON) == reason).alias(reason) for reason in reasons),
-    )
-    clean = store.write(project(counted), table)
     counts = dict(seen.get)
     received = counts.pop("received")
-    report = DQReport(ingested.source, received, {k: n for k, n in counts.items() if n})
-    if received != ingested.rows_received or report.rows_accepted != clean.count():
-        report = dq_report(checked, ingested.source)
-    return clean, report
+    report = DQReport(source.report.source, received, {k: n for k, n in counts.items() if n})
+    adds_up = received == source.report.rows_received and report.rows_accepted == clean.count()
+    return report if adds_up else dq_report(checked, source.report.source)

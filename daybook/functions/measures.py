@@ -11,7 +11,7 @@ from daybook.params import Params
 BAND_LABELS = {"green": "+ On target", "amber": "~ Watch", "red": "- Below"}
 NEUTRAL_BAND = "neutral"
 
-_EXACT_TYPE = "decimal(28,10)"
+_EXACT_TYPE = "decimal(26,8)"
 _EXACT_LIMIT = 1e17
 
 
@@ -20,8 +20,9 @@ def exact_sum(amount: Column) -> Column:
 
     Floating-point addition is not associative, so a plain distributed sum can
     differ in its last digits between two runs over the same rows. Adding the
-    amounts as decimals gives the same total every time. Amounts too large for
-    the decimal type make the whole group fall back to the plain sum.
+    amounts as decimals gives the same total every time. Each amount counts to
+    eight decimals. Amounts too large for the decimal type make the whole group
+    fall back to the plain sum.
     """
     total = F.try_sum(amount.try_cast(_EXACT_TYPE)).cast("double")
     return F.coalesce(F.when(F.max(F.abs(amount)) < _EXACT_LIMIT, total), F.sum(amount))
@@ -33,7 +34,13 @@ def guarded_ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def round_half_even(value: Column, places: int) -> Column:
-    return F.bround(value, places)
+    """Scale, round halves to even, scale back, all in binary floating point.
+
+    ``round`` and ``bround`` work on the printed decimal instead and differ from
+    this where the printed value ends in a half but the stored one does not.
+    """
+    scale = F.lit(float(10**places))
+    return F.rint(value * scale) / scale
 
 
 def roas_band(roas: Column, params: Params) -> Column:

@@ -10,6 +10,7 @@ from daybook.operators.quality import (
     enforce_threshold,
     flag_missing,
     flag_repeats,
+    quality_summary,
     rejected,
     rejection_counts,
     repeated_keys,
@@ -34,6 +35,7 @@ __all__ = [
     "interval_samples",
     "orders_clean",
     "orders_daily",
+    "quality_summary",
     "rejected",
     "rejection_counts",
     "repeated_keys",

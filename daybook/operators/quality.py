@@ -149,6 +149,25 @@ def rejection_counts(df: DataFrame, source: str) -> DataFrame:
     )
 
 
+def quality_summary(df: DataFrame, source: str, threshold: float) -> DataFrame:
+    """One row of row counts and whether the rejected share is above the threshold."""
+    counts = df.agg(
+        F.count(F.lit(1)).alias("rows_received"),
+        F.count(REASON).alias("rows_rejected"),
+    )
+    received, dropped = F.col("rows_received"), F.col("rows_rejected")
+    rate = F.when(received > 0, dropped / received).otherwise(F.lit(0.0))
+    return counts.select(
+        F.lit(source).alias("source"),
+        received,
+        (received - dropped).alias("rows_accepted"),
+        dropped,
+        rate.alias("rejection_rate"),
+        F.lit(float(threshold)).alias("threshold"),
+        (rate > float(threshold)).alias("exceeds"),
+    )
+
+
 def dq_report(df: DataFrame, source: str) -> DQReport:
     """Count a flagged frame; brings one number per reason to the driver."""
     counts = {r[REASON]: r["n"] for r in df.groupBy(REASON).agg(F.count("*").alias("n")).collect()}

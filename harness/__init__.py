@@ -1,0 +1 @@
+"""Queries over the given test tables, their SQL oracles, and the inputs both share."""

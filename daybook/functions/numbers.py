@@ -26,13 +26,13 @@ ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
 PLAIN_AMOUNT = r"^-?[0-9]{1,200}(?:\.[0-9]+)?\z"
 PLAIN_INTEGER = r"^[+-]?[0-9]+\z"
 NUMBER = (
-    r"^[+-]?(?:[0-9]{1,200}\.?[0-9]*|\.[0-9]+)"
+    r"^[+-]?(?:[0-9]{1,200}(?:\.[0-9]*)?|\.[0-9]+)"
     r"(?:[eE](?:\+?0*[0-9]{1,2}|-[0-9]+))?\z"
 )
 
 # Stands for the opening parenthesis of a negative amount; a private-use
 # character, swapped out of the input first so that no value can forge it.
-_NEGATIVE = ""
+_NEGATIVE = "\ue000"
 
 
 def _number(text: Column) -> Column:

@@ -34,7 +34,7 @@ from daybook.operators.quality import (
 from daybook.params import Params
 from daybook.plans.daily_model import model_from_daily
 from daybook.session import require_utc
-from daybook.sources.csv_files import read_export
+from daybook.sources.csv_files import parse_failures, read_export
 from daybook.sources.headers import HeaderMatch
 from daybook.sources.tables import TableStore
 
@@ -72,7 +72,8 @@ def ingest_orders(
     cleaning then read only the columns they need from it.
     """
     raw, header = read_export(spark, path, ORDER_FIELDS, multi_line=multi_line)
-    staged = store.write(flag_orders(raw), T_ORDERS_STAGED)
+    with parse_failures(path):
+        staged = store.write(flag_orders(raw), T_ORDERS_STAGED)
     repeats = store.write(repeated_keys(staged), T_ORDER_REPEATS)
 
     structural = dq_report(staged, "orders")
@@ -87,7 +88,8 @@ def ingest_ads(
 ) -> Ingested:
     """Read, map and check required values."""
     raw, header = read_export(spark, path, AD_FIELDS, multi_line=multi_line)
-    staged = store.write(flag_ads(raw), T_ADS_STAGED)
+    with parse_failures(path):
+        staged = store.write(flag_ads(raw), T_ADS_STAGED)
     return Ingested(staged, dq_report(staged, "ads"), header)
 
 

@@ -7,9 +7,11 @@ splits large files and reads the pieces on all executors.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +23,10 @@ from daybook.sources.headers import HeaderMatch, match_header
 
 UNNAMED = "Unnamed: "
 
+_SURPLUS_CELLS = "CSV row has more cells than the header: "
+_TORN_CELL = "CSV cell spans lines; read with multi_line: "
+_OTHER_HEADER = "CSV header does not conform to the schema"
+
 
 def read_export(
     spark: SparkSession,
@@ -38,6 +44,7 @@ def read_export(
     such files, so it is off by default; a quoted line break met without it
     fails the read rather than yielding two broken rows. A row with more cells
     than the header fails the read as well; a shorter one is padded with nulls.
+    These failures show when the rows are read: see ``parse_failures``.
     """
     header = _header_row(spark, path)
     match = match_header(header, wanted)  # header problems are fatal before any scan
@@ -71,6 +78,18 @@ def read_export(
     return rows.withColumns({MALFORMED: verdict, **absent}), match
 
 
+@contextmanager
+def parse_failures(path: str) -> Iterator[None]:
+    """Turn the failure of a job over an unparseable export into a schema error."""
+    try:
+        yield
+    except (PySparkException, Py4JJavaError) as exc:
+        for line in str(exc).splitlines():
+            if any(sign in line for sign in (_SURPLUS_CELLS, _TORN_CELL, _OTHER_HEADER)):
+                raise SchemaError("CSV could not be parsed", path=path, error=line) from exc
+        raise
+
+
 def _header_row(spark: SparkSession, path: str) -> list[str]:
     try:
         first = (
@@ -97,12 +116,12 @@ def _refuse_malformed(raw: Column, width: int, multi_line: bool) -> Column:
     surplus = F.from_csv(raw, cells, {"escape": '"'})[f"c{width}"].isNotNull()
     verdict = F.when(
         raw.isNotNull() & surplus,
-        F.raise_error(F.concat(F.lit("CSV row has more cells than the header: "), raw)),
+        F.raise_error(F.concat(F.lit(_SURPLUS_CELLS), raw)),
     )
     if not multi_line:
         quotes = F.length(raw) - F.length(F.replace(raw, F.lit('"'), F.lit("")))
         verdict = F.when(
             raw.isNotNull() & (quotes % 2 == 1),
-            F.raise_error(F.concat(F.lit("CSV cell spans lines; read with multi_line: "), raw)),
+            F.raise_error(F.concat(F.lit(_TORN_CELL), raw)),
         ).otherwise(verdict)
     return verdict.cast("string")

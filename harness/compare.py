@@ -49,7 +49,9 @@ def differences(spark: SparkSession, con, name: str, sf_dir: str) -> tuple[int,
 
 def main(argv: list[str]) -> int:
     sf_dir, names = argv[0], argv[1:] or list(QUERIES)
-    builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false")
+    builder = SparkSession.builder.master("local[8]").config("spark.ui.enabled", "false").config(
+        "spark.ui.showConsoleProgress", "false"
+    )
     for key, value in {**RECOMMENDED_CONF, "spark.sql.shuffle.partitions": "8"}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()

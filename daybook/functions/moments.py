@@ -15,20 +15,22 @@ from pyspark.sql import functions as F
 from daybook.functions.text import stripped
 
 # The allowed layouts. A "T" needs a zone; a space does not.
-_DAY = r"[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
-_MINUTE = r"[0-9]{1,2}:[0-9]{1,2}"
-_OFFSET = r"[+-](?:[0-9]{4}|[0-9]{1,2}(?::[0-9]{1,2})?)"
+# The usual ones a cast takes as they stand.
 USUAL_LAYOUT = (
     r"^[0-9]{4}-[0-9]{2}-[0-9]{2}"
-    r"(?:T[0-9]{2}:[0-9]{2}:[0-5][0-9]Z| [0-9]{2}:[0-9]{2}:[0-5][0-9](?: UTC)?)\z"
+    r"(?:[T ][0-9]{2}:[0-9]{2}:[0-5][0-9](?:Z|[+-][0-9]{2}:?[0-9]{2})"
+    r"| [0-9]{2}:[0-9]{2}(?::[0-5][0-9](?: UTC)?)?)?\z"
 )
-ANY_LAYOUT = (
-    rf"(?U)^{_DAY}"
-    rf"(?:[Tt]{_MINUTE}:[0-9]{{1,2}}(?:[Zz]|{_OFFSET})"
-    rf"|\s+{_MINUTE}(?::[0-9]{{1,2}}(?:Z|{_OFFSET})?)?)?\z"
-)
-UTC_SUFFIX = r"(?U)\s*UTC\s*$"
-LEAP_SECOND = r"(?U)(?<=[Tt\s][0-9]{1,2}:[0-9]{1,2}:)6"
+_DAY = r"([0-9]{4}-[0-9]{1,2}-[0-9]{1,2})"
+_MINUTE = r"([0-9]{1,2}:[0-9]{1,2})"
+_SECOND = r"([0-9]{1,2}:[0-9]{1,2}:[0-9]{1,2})"
+_OFFSET = r"([+-](?:[0-9]{4}|[0-9]{1,2}(?::[0-9]{1,2})?))"
+_WITH_T = rf"[Tt]{_SECOND}(?:[Zz]|{_OFFSET})"
+_WITH_SPACE = rf"\s+(?:{_SECOND}(?:Z|{_OFFSET})?|{_MINUTE})"
+# Any other text matches as a whole, without groups, and so turns into a blank.
+ANY_LAYOUT = rf"(?Us)^(?:{_DAY}(?:{_WITH_T}|{_WITH_SPACE})?(?:\s*UTC\s*)?|.*)\z"
+CANONICAL = "$1 $2$4$6$3$5"
+LEAP_SECOND = r"(:[0-9]{1,2}):6([01])"
 DATE_LAYOUT = r"^[0-9]{4}([-/])[0-9]{1,2}\1[0-9]{1,2}\z"
 
 # Instants a 64-bit nanosecond clock can hold. Later or earlier
@@ -41,16 +43,18 @@ LATEST_DATE = "2262-04-11"
 
 def parse_timestamp(text: Column) -> Column:
     """Timestamp text as an instant, or null."""
-    # "No match" extracts as empty text, which casts to null.
-    body = F.regexp_extract(F.regexp_replace(text, UTC_SUFFIX, ""), ANY_LAYOUT, 0)
-    body = F.upper(F.regexp_replace(body, r"(?U)\s+", " "))
-    whole = F.regexp_replace(body, LEAP_SECOND + "[01]", "59").try_cast("timestamp")
-    beyond = (
-        F.when(text.rlike(LEAP_SECOND + "0"), F.expr("interval 1 second"))
-        .when(text.rlike(LEAP_SECOND + "1"), F.expr("interval 2 second"))
-        .otherwise(F.expr("interval 0 second"))
+
+    def rearranged(body: Column) -> Column:
+        return F.regexp_replace(body, ANY_LAYOUT, CANONICAL).try_cast("timestamp")
+
+    # A second of 60 or 61 reads as 59; what that lacks is added back.
+    at_59 = rearranged(F.regexp_replace(text, LEAP_SECOND, "$1:59"))
+    lacking = F.regexp_extract(text, LEAP_SECOND, 2).try_cast("int") + 1
+    instant = (
+        F.when(text.rlike(USUAL_LAYOUT), text.try_cast("timestamp"))
+        .when(text.rlike(LEAP_SECOND), at_59 + F.make_dt_interval(secs=lacking))
+        .otherwise(rearranged(text))
     )
-    instant = F.when(text.rlike(USUAL_LAYOUT), text.try_cast("timestamp")).otherwise(whole + beyond)
     in_range = instant.between(
         F.lit(EARLIEST_INSTANT).cast("timestamp"), F.lit(LATEST_INSTANT).cast("timestamp")
     )

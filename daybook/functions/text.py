@@ -20,6 +20,8 @@ WHITESPACE = (
 
 # The same set inside a Java character class.
 WHITESPACE_CLASS = r"\s\x1c-\x1f"
+USUAL_STATUS = r"^[a-z]+(?:_[a-z]+)*\z"
+VISIBLE = rf"(?U)[^{WHITESPACE_CLASS}]"
 
 
 def stripped(text: Column) -> Column:
@@ -29,12 +31,13 @@ def stripped(text: Column) -> Column:
 
 def is_blank(text: Column) -> Column:
     """True for null, empty and white-space-only text; never null."""
-    return text.isNull() | (F.length(stripped(text)) == 0)
+    return text.isNull() | ~text.rlike(VISIBLE)
 
 
 def status_key(text: Column) -> Column:
     """Comparable payment status: lower case, words joined by one underscore."""
-    return F.regexp_replace(F.lower(stripped(text)), rf"(?U)[{WHITESPACE_CLASS}\-_]+", "_")
+    joined = F.regexp_replace(F.lower(stripped(text)), rf"(?U)[{WHITESPACE_CLASS}\-_]+", "_")
+    return F.when(text.rlike(USUAL_STATUS), text).otherwise(joined)
 
 
 def campaign_label(text: Column) -> Column:

@@ -33,7 +33,7 @@ from daybook.operators.quality import (
 )
 from daybook.params import Params
 from daybook.plans.daily_model import model_from_daily
-from daybook.session import require_utc
+from daybook.session import require_utc, tuned
 from daybook.sources.csv_files import parse_failures, read_export
 from daybook.sources.headers import HeaderMatch
 from daybook.sources.tables import TableStore
@@ -112,6 +112,18 @@ def run(
     params.rate_from(params.orders_currency)  # an unknown currency fails before any job
     params.rate_from(params.ads_currency)
 
+    with tuned(spark):
+        return _rebuild(spark, orders_path, ads_path, store, params, multi_line)
+
+
+def _rebuild(
+    spark: SparkSession,
+    orders_path: str,
+    ads_path: str,
+    store: TableStore,
+    params: Params,
+    multi_line: bool,
+) -> RunResult:
     orders = ingest_orders(spark, orders_path, store, multi_line=multi_line)
     ads = ingest_ads(spark, ads_path, store, multi_line=multi_line)
     for source in (orders, ads):

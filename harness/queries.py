@@ -23,7 +23,7 @@ from daybook.contracts import (
     T_MODEL,
 )
 from daybook.params import Params
-from daybook.session import scratch_path, settle
+from daybook.session import RECOMMENDED_CONF, scratch_path, settle
 from daybook.sources import TableStore, canonical_columns, read_export, write_report
 from harness import frames
 
@@ -57,7 +57,8 @@ RANGE = (date(1995, 1, 10), date(1996, 6, 30))
 
 def query(function: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        for key in ("spark.sql.session.timeZone", "spark.sql.codegen.hugeMethodLimit"):
+            spark.conf.set(key, RECOMMENDED_CONF[key])
         return function(spark, sf_dir)
 
     QUERIES[function.__name__] = run

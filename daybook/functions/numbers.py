@@ -20,8 +20,10 @@ from daybook.functions.text import WHITESPACE_CLASS
 
 # What may surround a money amount.
 CURRENCY_SYMBOLS = "$€£¥₹₽₺₴₦₱₲₵₡₭₮₸"
-CURRENCY_CODE = r"\b[A-Z]{3}\b"
-CURRENCY_MARK = rf"(?U){CURRENCY_CODE}|[{CURRENCY_SYMBOLS}]"
+# Three capitals that are no part of a longer word. The letters come first and
+# the look-arounds after them, so that other characters fail at once.
+_WORD = r"[\p{L}\p{N}_]"
+CURRENCY_CODE = rf"[A-Z]{{3}}(?<!{_WORD}[A-Z]{{3}})(?!{_WORD})"
 THOUSANDS_MARK = rf"(?U)(?<=\d)[,{WHITESPACE_CLASS}](?=\d{{3}}(?!\d))"
 ACCOUNTING_NEGATIVE = r"^\(.*\)$"
 ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
@@ -55,7 +57,8 @@ def parse_money(text: Column) -> Column:
         .when(text.contains("(") | text.contains(")"), F.lit(None))
         .otherwise(1.0)
     )
-    body = F.regexp_replace(text, CURRENCY_MARK, "")
+    body = F.regexp_replace(text, CURRENCY_CODE, "")
+    body = F.translate(body, CURRENCY_SYMBOLS, "")
     body = F.regexp_replace(body, THOUSANDS_MARK, "")
     # "No match" extracts as empty text, which casts to null.
     amount = F.regexp_extract(body, AMOUNT_IN_PARENTHESES_OR_NOT, 1).try_cast("double")

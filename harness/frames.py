@@ -190,10 +190,17 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     factor = F.col("copy") + 1
     discount = F.when(_every("k", 43), -F.col("discount")).otherwise(F.col("discount"))
+    rows = rows.withColumns(
+        {
+            "gross": (F.col("gross") * factor).cast("decimal(20,2)"),
+            "discount": (discount * factor).cast("decimal(20,4)"),
+            "net": (F.col("net") * factor).cast("decimal(20,4)"),
+            "tax": (F.col("tax") * factor).cast("decimal(20,4)"),
+        }
+    )
 
-    def money(amount: Column, places: int, column: int) -> Column:
-        scaled = (amount * factor).cast(f"decimal(20,{places})")
-        return money_text(scaled, places, F.col("k") + column, "ETB")
+    def money(name: str, places: int, column: int) -> Column:
+        return money_text(F.col(name), places, F.col("k") + column, "ETB")
 
     blank = F.when(_every("k", 2), "   ")
     cells = {
@@ -203,11 +210,11 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         ),
         "financial_status": status_text(),
         "gross_amount": F.when(_every("k", 97), "not_a_number").otherwise(
-            money(F.col("gross"), 2, 0)
+            money("gross", 2, 0)
         ),
-        "discount_amount": F.when(_every("k", 61), "n/a").otherwise(money(discount, 4, 1)),
-        "net_amount": F.when(_every("k", 89), blank).otherwise(money(F.col("net"), 4, 2)),
-        "taxes": money(F.col("tax"), 4, 3),
+        "discount_amount": F.when(_every("k", 61), "n/a").otherwise(money("discount", 4, 1)),
+        "net_amount": F.when(_every("k", 89), blank).otherwise(money("net", 4, 2)),
+        "taxes": money("tax", 4, 3),
         "shipping_fees": F.lit("0.00"),
         "currency": F.lit("ETB"),
     }

@@ -21,9 +21,14 @@ from daybook.contracts import (
     T_ORDERS_DAILY,
     T_ORDERS_STAGED,
 )
-from daybook.operators.ads import ads_clean, check_ads, flag_ads
+from daybook.operators.ads import ads_clean, check_ads, flag_ads, interval_samples
 from daybook.operators.daily import ads_daily, orders_daily
-from daybook.operators.orders import check_orders, flag_orders, orders_clean
+from daybook.operators.orders import (
+    check_orders,
+    flag_orders,
+    orders_clean,
+    unknown_statuses,
+)
 from daybook.operators.quality import (
     DQReport,
     dq_report,
@@ -41,18 +46,33 @@ from daybook.sources.tables import TableStore
 
 @dataclass(frozen=True)
 class RunResult:
-    """What a run read, kept and wrote."""
+    """What a run read, kept and wrote.
+
+    The ``checked`` frames are lazy and hold every input row with its reason, so
+    rejected rows can be looked at after the run.
+    """
 
+    params: Params
     orders_report: DQReport
     ads_report: DQReport
     orders_header: HeaderMatch
     ads_header: HeaderMatch
+    checked_orders: DataFrame
+    checked_ads: DataFrame
     store: TableStore
 
     @property
     def model(self) -> DataFrame:
         return self.store.read(T_MODEL)
 
+    def unknown_statuses(self) -> DataFrame:
+        """Statuses that were excluded only because no parameter knows them."""
+        return unknown_statuses(self.checked_orders, self.params)
+
+    def interval_samples(self) -> DataFrame:
+        """First start dates of ad rows that span several days."""
+        return interval_samples(self.checked_ads)
+
 
 @dataclass(frozen=True)
 class Ingested:
@@ -139,10 +159,13 @@ def _rebuild(
     ads_by_day = store.write(ads_daily(clean_ads), T_ADS_DAILY)
     store.write(model_from_daily(orders_by_day, ads_by_day, params), T_MODEL)
     return RunResult(
+        params,
         _final_report(orders, orders_seen, clean_orders, checked_orders),
         _final_report(ads, ads_seen, clean_ads, checked_ads),
         orders.header,
         ads.header,
+        checked_orders,
+        checked_ads,
         store,
     )
 

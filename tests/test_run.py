@@ -8,8 +8,8 @@ import pytest
 
 from daybook import CurrencyError, DataQualityError, Params, SchemaError
 from daybook.contracts import T_ADS_CLEAN, T_ADS_DAILY, T_ORDERS_CLEAN, T_ORDERS_DAILY
-from daybook.operators import interval_samples, check_ads, rejected
-from daybook.plans import ingest_orders, load_model, period_kpis, run, run_summary
+from daybook.operators import check_ads, interval_samples, rejected
+from daybook.plans import ingest_ads, ingest_orders, load_model, period_kpis, run, run_summary
 from daybook.sources import TableStore
 
 # The five-day example.
@@ -167,6 +167,10 @@ def test_messy_exports(spark, tmp_path, store):
     assert result.orders_header.unexpected == ("Note",)
     assert result.ads_header.absent == ("campaign_name", "impressions")
 
+    assert [tuple(r) for r in result.unknown_statuses().collect()] == [("lost", 1)]
+    assert [r.reporting_start for r in result.interval_samples().collect()] == [date(2026, 9, 1)]
+    assert rejected(result.checked_orders).count() == result.orders_report.rows_rejected
+
     orders = {r.order_id: r for r in store.read(T_ORDERS_CLEAN).collect()}
     assert set(orders) == {"1", "2", "8"}
     assert (orders["2"].gross_amount, orders["2"].discount_amount) == (1000.0, 0.0)
@@ -227,8 +231,6 @@ def test_headers_alone_give_an_empty_model(spark, tmp_path, store):
 
 
 def test_interval_samples_of_a_file(spark, tmp_path, store):
-    from daybook.plans import ingest_ads
-
     paths = save(tmp_path, MESSY_ORDERS, MESSY_ADS)
     checked = check_ads(ingest_ads(spark, paths[1], store).rows)
     assert [r.reporting_start for r in interval_samples(checked).collect()] == [date(2026, 9, 1)]

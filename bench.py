@@ -18,7 +18,7 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from daybook.session import RECOMMENDED_CONF  # noqa: E402
-from harness.queries import QUERIES  # noqa: E402
+from daybook_checks.queries import QUERIES  # noqa: E402
 
 HEADLINE = (
     "daily_model",

@@ -25,8 +25,8 @@ from daybook.contracts import POSITION, T_ORDERS_CLEAN  # noqa: E402
 from daybook.plans import daily_run, run  # noqa: E402
 from daybook.session import scratch_path  # noqa: E402
 from daybook.sources import TableStore  # noqa: E402
-from harness import frames  # noqa: E402
-from harness.queries import AD_HEADERS, ORDER_HEADERS  # noqa: E402
+from daybook_checks import frames  # noqa: E402
+from daybook_checks.queries import AD_HEADERS, ORDER_HEADERS  # noqa: E402
 
 
 def write_csv(frame, headers, path) -> None:

@@ -1,6 +1,6 @@
 """Runs queries next to their oracles and reports differences.
 
-    python -m harness.compare /root/testdata/sf0.01 [query ...]
+    python -m daybook_checks.compare /root/testdata/sf0.01 [query ...]
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ import duckdb
 from pyspark.sql import SparkSession
 
 from daybook.session import RECOMMENDED_CONF
-from harness.oracles import ORACLES
-from harness.queries import QUERIES
+from daybook_checks.oracles import ORACLES
+from daybook_checks.queries import QUERIES
 
 
 def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:

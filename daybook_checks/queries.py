@@ -25,7 +25,7 @@ from daybook.contracts import (
 from daybook.params import Params
 from daybook.session import RECOMMENDED_CONF, scratch_path, settle
 from daybook.sources import TableStore, canonical_columns, read_export, write_report
-from harness import frames
+from daybook_checks import frames
 
 PARAMS = Params()
 Query = Callable[[SparkSession, str], DataFrame]

@@ -8,7 +8,7 @@ import pytest
 
 import __spark_entry__ as driver
 from daybook.contracts import DAILY_MODEL
-from harness.compare import differences, oracle_connection
+from daybook_checks.compare import differences, oracle_connection
 from tests.conftest import plan_of
 
 SMALL = driver.SMOKE_DIR

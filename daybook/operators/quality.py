@@ -98,18 +98,22 @@ def repeated_keys(
 ) -> DataFrame:
     """Keys that occur more than once, with their first position and copy count.
 
-    Built for a mostly unique key. The first pass shuffles keys and partial
-    counts only. Positions are read for the repeated keys alone and reduced to
-    one minimum per key before they are shuffled, so a key that fills a third of
-    the input costs each task one row. With no repeats at all the second pass
-    is dropped at run time.
+    Built for a mostly unique key. The first pass shuffles one hash and partial
+    count per key instead of the key text. Only rows whose hash repeats take part
+    in the second pass, which goes by the keys themselves, so keys that merely
+    share a hash drop out again. Positions are reduced to one minimum per key and
+    task before they are shuffled: a key that fills a third of the input costs
+    each task one row. With no repeats the second pass is dropped at run time.
     """
-    eligible = accepted(df).select(key, *position)
-    repeated = eligible.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    eligible = accepted(df).select(key, *position, F.xxhash64(key).alias("__hash"))
+    suspects = (
+        eligible.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
+    ).select("__hash")
     return (
-        eligible.join(repeated.select(key), key, "left_semi")
+        eligible.join(suspects, "__hash", "left_semi")
         .groupBy(key)
         .agg(F.min(F.struct(*position)).alias("__first"), F.count(F.lit(1)).alias("__copies"))
+        .where(F.col("__copies") > 1)
     )
 
 

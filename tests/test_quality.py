@@ -146,6 +146,12 @@ def test_repeats_hold_one_row_per_repeated_key(spark):
     ]
 
 
+def test_keys_that_share_a_hash_are_told_apart(spark, monkeypatch):
+    monkeypatch.setattr(F, "xxhash64", lambda *_: F.lit(1))
+    rows = order_rows(spark, *({"order_id": k} for k in "abcad"))
+    assert [r.order_id for r in repeated_keys(flag_orders(rows)).collect()] == ["a"]
+
+
 def test_counting_agrees_everywhere(spark):
     rows = order_rows(
         spark, {}, {"order_id": "2"}, {"order_id": "2"}, {"order_id": "3", "currency": " "}

@@ -47,6 +47,9 @@ def session(cpus: int) -> SparkSession:
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"),
         "spark.sql.shuffle.partitions": str(cpus),
+        # The tables are a few megabytes: let small files and shuffles use all cores.
+        "spark.sql.files.openCostInBytes": "262144",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "128k",
     }
     for key, value in conf.items():
         builder = builder.config(key, value)

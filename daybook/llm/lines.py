@@ -124,7 +124,8 @@ def remove_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     keyed, repeated = _keyed(docs)
     gone = settle(removed_lines(keyed, repeated, least_words), "removed-lines")
     gone = gone.withColumnsRenamed({"key": "__key", "tag": "__tag", "removed": "__removed"})
-    joined = keyed.join(gone, ["__key", "__tag"], "left")
+    # At any size the join sorts both sides: how many documents lose lines grows with the input.
+    joined = keyed.join(gone.hint("merge"), ["__key", "__tag"], "left")
     lines = F.split("text", "\n", -1)
 
     def left(all_lines: Column) -> Column:

@@ -367,7 +367,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     wanted = members.select("uid").distinct().join(lean.select("uid", "doc_id", "text_hash"), "uid")
     source = _keyed(docs).where("text is not null")
     written = source.join(
-        wanted.withColumnsRenamed({"doc_id": "id", "text_hash": "hash"}),
+        wanted.withColumnsRenamed({"doc_id": "id", "text_hash": "hash"}).hint("merge"),
         (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id")),
     )
     # Repeated rows have the same text, so any of them will do.
@@ -412,6 +412,6 @@ def keep_one(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
         F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")
     ).distinct()
     match = F.xxhash64(docs["text"]).eqNullSafe(F.col("__hash")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__id"))
-    chosen = docs.join(kept, match, "left_semi")
+    chosen = docs.join(kept.hint("merge"), match, "left_semi")
     repeated = docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty()
     return chosen if repeated else chosen.dropDuplicates(["doc_id", "text"])

@@ -286,6 +286,6 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFram
             n_words = np.diff(table.first)
             yield record(_LEFT, part.column("doc_id"), n_words, n_words - np.diff(upto), kept)
 
-    return tagged.join(spans, ["doc_id", "tag"], "left").mapInArrow(
+    return tagged.join(spans.hint("merge"), ["doc_id", "tag"], "left").mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, text string"
     )

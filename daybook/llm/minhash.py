@@ -287,32 +287,54 @@ def _overlaps(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarra
     return common[place[: len(a)], place[len(a) :]].astype(np.float64)
 
 
+def _unlike_classes(table: pa.Table, bounds: np.ndarray, settings: Settings) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of a tile in different classes whose signatures allow the threshold.
+
+    Only the first band that two documents share proposes them.
+    """
+    component, block, band = (table.column(c).to_numpy() for c in ("component", "block", "band"))
+    crossing = table.column("tile_a").to_numpy() != table.column("tile_b").to_numpy()
+    signs = _signs(table.column("signature"), settings)
+    bands = table.column("bands").combine_chunks().flatten().to_numpy().reshape(-1, settings.bands)
+    for a, b in pairs_within(bounds):
+        ok = (component[a] != component[b]) & (~crossing[a] | (block[a] != block[b]))
+        a, b = a[ok], b[ok]
+        near = (signs[a] == signs[b]).sum(axis=1) >= settings.least_agreement
+        a, b = a[near], b[near]
+        first = (bands[a] == bands[b]).argmax(axis=1) == band[a]
+        if first.any():
+            yield a[first], b[first]
+
+
+def _promising(settings: Settings, keys: list[str]):
+    """Tiles of bucket members to the members that some other member of the bucket may be linked to."""
+    schema = pa.schema([("band", pa.int32()), ("bucket", pa.int64()), ("uid", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table, bounds in whole_groups(batches, [*keys, "tile_a", "tile_b"], least=1024):
+            some = np.zeros(table.num_rows, dtype=bool)
+            for a, b in _unlike_classes(table, bounds, settings):
+                some[a] = some[b] = True
+            if some.any():
+                yield record(schema, *(table.column(c).to_numpy()[some] for c in (*keys, "uid")))
+
+    return run
+
+
 def _across(settings: Settings, keys: list[str]):
     """Tiles of bucket members to links between those in different classes, a star per linked part."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, [*keys, "tile_a", "tile_b"], least=1024):
-            uid, component = table.column("uid").to_numpy(), table.column("component").to_numpy()
-            block, band = table.column("block").to_numpy(), table.column("band").to_numpy()
-            crossing = table.column("tile_a").to_numpy() != table.column("tile_b").to_numpy()
-            signs = _signs(table.column("signature"), settings)
-            bands = np.array(table.column("bands").to_pylist(), dtype=np.int64)
+            uid = table.column("uid").to_numpy()
             sets = [np.frombuffer(x, dtype=np.uint64) for x in table.column("shingles").to_pylist()]
             size = np.fromiter(map(len, sets), dtype=np.float64, count=len(sets))
             found: list[tuple[np.ndarray, np.ndarray]] = []
-            for a, b in pairs_within(bounds):
-                ok = (component[a] != component[b]) & (~crossing[a] | (block[a] != block[b]))
-                a, b = a[ok], b[ok]
-                near = (signs[a] == signs[b]).sum(axis=1) >= settings.least_agreement
-                a, b = a[near], b[near]
-                # The first band that two documents share compares them.
-                first = (bands[a] == bands[b]).argmax(axis=1) == band[a]
-                a, b = a[first], b[first]
-                if len(a):
-                    common = _overlaps(sets, a, b)
-                    linked = common / (size[a] + size[b] - common) >= settings.threshold
-                    found.append((a[linked], b[linked]))
+            for a, b in _unlike_classes(table, bounds, settings):
+                common = _overlaps(sets, a, b)
+                linked = common / (size[a] + size[b] - common) >= settings.threshold
+                found.append((a[linked], b[linked]))
             if found:
                 a, b = (np.concatenate(x) for x in zip(*found, strict=True))
                 member, hub = local_forest(a, b, len(uid))
@@ -383,11 +405,17 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     ).where("low <> high")
     mixed = settle(mixed, "mixed-buckets")
     apart = settle(placed.join(mixed.select(*keys), keys), "mixed-members")
-    shingled = written.join(apart.select("uid").distinct(), "uid").mapInArrow(
+    # Signatures first; only members that they leave in question carry their shingles.
+    light = apart.join(single, "uid")
+    dealt = tiles(light, mixed.select(*keys, "n"), keys)
+    open_members = dealt.mapInArrow(_promising(settings, keys), "band int, bucket long, uid long").distinct()
+    open_members = settle(open_members.join(apart, [*keys, "uid"]), "open-members")
+    shingled = written.join(open_members.select("uid").distinct(), "uid").mapInArrow(
         _shingled(settings), "uid long, shingles binary"
     )
-    shingled = settle(shingled.join(single, "uid"), "mixed-shingles")
-    dealt = tiles(apart.join(shingled, "uid"), mixed.select(*keys, "n"), keys)
+    shingled = settle(shingled.join(single, "uid"), "open-shingles")
+    counts = open_members.groupBy(*keys).agg(F.count("*").alias("n"))
+    dealt = tiles(open_members.join(shingled, "uid"), counts, keys)
     more = settle(dealt.mapInArrow(_across(settings, keys), "a long, b long"), "cross-links")
     groups = settle(components(links.unionByName(more)), "classes")
 

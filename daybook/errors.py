@@ -1,20 +1,10 @@
-"""What can go wrong, as plain exception types."""
+"""What can go wrong. Every message is complete by itself; nothing else is attached."""
 
 from __future__ import annotations
 
 
 class DaybookError(Exception):
-    """Base class; keyword arguments are kept as ``details`` for callers."""
-
-    def __init__(self, message: str, **details: object) -> None:
-        super().__init__(message)
-        self.details = details
-
-    def __str__(self) -> str:
-        text = super().__str__()
-        if not self.details:
-            return text
-        return f"{text} ({', '.join(f'{k}={v!r}' for k, v in self.details.items())})"
+    """Any failure that this package reports on purpose."""
 
 
 class ParamError(DaybookError, ValueError):
@@ -24,6 +14,9 @@ class ParamError(DaybookError, ValueError):
 class SchemaError(DaybookError):
     """An input file is absent, empty, unparseable or lacks required columns."""
 
+    #: canonical names of the columns that are missing, if that is the reason
+    missing: tuple[str, ...] = ()
+
 
 class DataQualityError(DaybookError):
     """Too large a share of the input rows was rejected."""

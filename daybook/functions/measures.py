@@ -12,7 +12,6 @@ BAND_LABELS = {"green": "+ On target", "amber": "~ Watch", "red": "- Below"}
 NEUTRAL_BAND = "neutral"
 
 _EXACT_TYPE = "decimal(26,8)"
-_EXACT_LIMIT = 1e17
 
 
 def exact_sum(amount: Column) -> Column:
@@ -20,12 +19,13 @@ def exact_sum(amount: Column) -> Column:
 
     Floating-point addition is not associative, so a plain distributed sum can
     differ in its last digits between two runs over the same rows. Adding the
-    amounts as decimals gives the same total every time. Each amount counts to
-    eight decimals. Amounts too large for the decimal type make the whole group
-    fall back to the plain sum.
+    amounts as decimals gives the same total every time. What eight decimals do not
+    hold, be it a tiny rest or a whole amount too large for the type, is added as
+    doubles beside them, so every amount counts in full.
     """
-    total = F.try_sum(amount.try_cast(_EXACT_TYPE)).cast("double")
-    return F.coalesce(F.when(F.max(F.abs(amount)) < _EXACT_LIMIT, total), F.sum(amount))
+    exact = F.coalesce(amount.try_cast(_EXACT_TYPE), F.lit(0).cast(_EXACT_TYPE))
+    rest = amount - exact.cast("double")
+    return F.sum(exact).cast("double") + F.sum(rest)
 
 
 def guarded_ratio(numerator: Column, denominator: Column) -> Column:
@@ -43,6 +43,26 @@ def round_half_even(value: Column, places: int) -> Column:
     return F.rint(value * scale) / scale
 
 
+def round_tenths(value: Column) -> Column:
+    """Round to one decimal by the stored binary value, halves to even.
+
+    Ten times the value is rarely exact, so a product that looks like a half may stand for
+    slightly more or less. Eight and two times the value are exact; the error of their sum
+    decides.
+    """
+    eight, two = value * 8, value * 2
+    ten = eight + two
+    taken = ten - eight
+    error = (eight - (ten - taken)) + (two - taken)
+    half = ten - F.floor(ten) == 0.5
+    units = (
+        F.when(half & (error > 0), F.ceil(ten).cast("double"))
+        .when(half & (error < 0), F.floor(ten).cast("double"))
+        .otherwise(F.rint(ten))
+    )
+    return units / 10
+
+
 def roas_band(roas: Column, params: Params) -> Column:
     """Band of a return on ad spend; a threshold belongs to the better band."""
     return (

@@ -28,17 +28,14 @@ THOUSANDS_MARK = rf"(?U)(?<=\d)[,{WHITESPACE_CLASS}](?=\d{{3}}(?!\d))"
 ACCOUNTING_NEGATIVE = r"^\(.*\)$"
 ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
 
-# Digits and exponents are limited so that no match can overflow to infinity.
-PLAIN_AMOUNT = r"^-?[0-9]{1,200}(?:\.[0-9]+)?\z"
+# The short paths take amounts that cannot overflow; longer ones go the general way.
+PLAIN_AMOUNT = r"^-?[0-9]{1,300}(?:\.[0-9]+)?\z"
 USUAL_AMOUNT = (
     rf"^ *(?:[A-Z]{{3}} |[{CURRENCY_SYMBOLS}])?"
-    r"(-?(?:[0-9]{1,3}(?:,[0-9]{3}){0,60}|[0-9]{1,200})(?:\.[0-9]+)?)(?: [A-Z]{3})? *\z"
+    r"(-?(?:[0-9]{1,3}(?:,[0-9]{3}){0,60}|[0-9]{1,300})(?:\.[0-9]+)?)(?: [A-Z]{3})? *\z"
 )
 PLAIN_INTEGER = r"^[+-]?[0-9]+\z"
-_NUMBER = (
-    r"[+-]?(?:[0-9]{1,200}(?:\.[0-9]*)?|\.[0-9]+)"
-    r"(?:[eE](?:\+?0*[0-9]{1,2}|-[0-9]+))?"
-)
+_NUMBER = r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
 NUMBER = rf"^{_NUMBER}\z"
 AMOUNT_IN_PARENTHESES_OR_NOT = (
     rf"(?U)^\(?[{WHITESPACE_CLASS}]*({_NUMBER})[{WHITESPACE_CLASS}]*\)?[{WHITESPACE_CLASS}]*\z"
@@ -66,10 +63,15 @@ def parse_money(text: Column) -> Column:
     return (
         F.when(text.rlike(PLAIN_AMOUNT), text.try_cast("double"))
         .when(text.rlike(USUAL_AMOUNT), usual.try_cast("double"))
-        .otherwise(amount * sign)
+        .otherwise(_finite(amount * sign))
     )
 
 
+def _finite(value: Column) -> Column:
+    """The value, or null where it overflowed; the one-element array is its only use."""
+    return F.get(F.filter(F.array(value), lambda v: F.abs(v) < float("inf")), F.lit(0))
+
+
 def parse_counter(text: Column) -> Column:
     """Count text as a bigint; a fraction is cut off, anything else is null."""
     body = F.btrim(text, F.lit(ASCII_WHITESPACE))

@@ -68,27 +68,25 @@ class Params:
 
         for code, rate in rates.items():
             if rate <= 0:
-                raise ParamError("exchange rates must be positive", currency=code, rate=rate)
+                raise ParamError(f"the rate of {code} must be positive, not {rate}")
         for name in _FRACTIONS:
             if not 0 <= getattr(self, name) <= 1:
-                raise ParamError(f"{name} must lie between 0 and 1", value=getattr(self, name))
+                raise ParamError(f"{name} must lie between 0 and 1, not {getattr(self, name)}")
         if self.admin_hours_per_week < 0:
             raise ParamError("admin_hours_per_week must not be negative")
         if self.roas_amber_threshold <= 0 or self.roas_green_threshold <= 0:
             raise ParamError("ROAS thresholds must be positive")
         if self.roas_amber_threshold >= self.roas_green_threshold:
             raise ParamError(
-                "roas_amber_threshold must be strictly less than roas_green_threshold",
-                amber=self.roas_amber_threshold,
-                green=self.roas_green_threshold,
+                f"the amber ROAS threshold {self.roas_amber_threshold} must lie below "
+                f"the green one, {self.roas_green_threshold}"
             )
         if self.reporting_currency in (self.orders_currency, self.ads_currency):
             own_rate = rates.get(self.reporting_currency, Decimal(1))
             if own_rate != 1:
                 raise ParamError(
-                    "a source in the reporting currency needs a rate of 1.0",
-                    currency=self.reporting_currency,
-                    rate=own_rate,
+                    f"{self.reporting_currency} is also a source currency, so its rate "
+                    f"must be 1, not {own_rate}"
                 )
 
     def rate_from(self, currency: str) -> Decimal:
@@ -97,11 +95,7 @@ class Params:
         if code == self.reporting_currency:
             return Decimal(1)
         if code not in self.fx_rates:
-            raise CurrencyError(
-                f"No FX rate configured for {code}",
-                source_currency=code,
-                reporting_currency=self.reporting_currency,
-            )
+            raise CurrencyError(f"no rate from {code} to {self.reporting_currency} is set")
         return self.fx_rates[code]
 
     @property
@@ -137,13 +131,13 @@ def _check_timezone(name: str) -> None:
     try:
         ZoneInfo(name)
     except Exception as exc:
-        raise ParamError("Unknown IANA timezone", timezone=name) from exc
+        raise ParamError(f"{name!r} is not a time zone this system knows") from exc
 
 
 def _currency_code(field_name: str, value: str) -> str:
     code = str(value).upper()
     if len(code) != 3 or not code.isalpha():
-        raise ParamError(f"{field_name} must be three letters", value=value)
+        raise ParamError(f"{field_name} must be three letters, not {value!r}")
     return code
 
 
@@ -151,7 +145,7 @@ def _decimal(field_name: str, value: object) -> Decimal:
     try:
         number = Decimal(str(value))
     except InvalidOperation as exc:
-        raise ParamError(f"{field_name} is not a number", value=value) from exc
+        raise ParamError(f"{field_name} is not a number: {value!r}") from exc
     if not number.is_finite():
-        raise ParamError(f"{field_name} is not a finite number", value=value)
+        raise ParamError(f"{field_name} is not a finite number: {value!r}")
     return number

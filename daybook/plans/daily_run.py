@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -21,6 +22,7 @@ from daybook.contracts import (
     T_ORDERS_DAILY,
     T_ORDERS_STAGED,
 )
+from daybook.errors import DaybookError
 from daybook.operators.ads import ads_clean, check_ads, flag_ads, interval_samples
 from daybook.operators.daily import ads_daily, orders_daily
 from daybook.operators.orders import (
@@ -60,6 +62,13 @@ class RunResult:
     checked_orders: DataFrame
     checked_ads: DataFrame
     store: TableStore
+    #: tables that hold the raw rows of this run; no other run writes to them
+    staged: tuple[str, ...]
+
+    def discard_staged(self) -> None:
+        """Remove this run's raw rows; the ``checked`` frames cannot be read after that."""
+        for name in self.staged:
+            self.store.drop(name)
 
     @property
     def model(self) -> DataFrame:
@@ -84,7 +93,12 @@ class Ingested:
 
 
 def ingest_orders(
-    spark: SparkSession, path: str, store: TableStore, *, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    store: TableStore,
+    *,
+    multi_line: bool = False,
+    run_id: str = "",
 ) -> Ingested:
     """Read, map, check required values and mark repeated orders.
 
@@ -93,8 +107,8 @@ def ingest_orders(
     """
     raw, header = read_export(spark, path, ORDER_FIELDS, multi_line=multi_line)
     with parse_failures(path):
-        staged = store.write(flag_orders(raw), T_ORDERS_STAGED)
-    repeats = store.write(repeated_keys(staged), T_ORDER_REPEATS)
+        staged = store.write(flag_orders(raw), T_ORDERS_STAGED + run_id)
+    repeats = store.write(repeated_keys(staged), T_ORDER_REPEATS + run_id)
 
     structural = dq_report(staged, "orders")
     surplus = repeats.agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0))).head()[0]
@@ -104,12 +118,17 @@ def ingest_orders(
 
 
 def ingest_ads(
-    spark: SparkSession, path: str, store: TableStore, *, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    store: TableStore,
+    *,
+    multi_line: bool = False,
+    run_id: str = "",
 ) -> Ingested:
     """Read, map and check required values."""
     raw, header = read_export(spark, path, AD_FIELDS, multi_line=multi_line)
     with parse_failures(path):
-        staged = store.write(flag_ads(raw), T_ADS_STAGED)
+        staged = store.write(flag_ads(raw), T_ADS_STAGED + run_id)
     return Ingested(staged, dq_report(staged, "ads"), header)
 
 
@@ -144,10 +163,17 @@ def _rebuild(
     params: Params,
     multi_line: bool,
 ) -> RunResult:
-    orders = ingest_orders(spark, orders_path, store, multi_line=multi_line)
-    ads = ingest_ads(spark, ads_path, store, multi_line=multi_line)
-    for source in (orders, ads):
-        enforce_threshold(source.report, float(params.dq_rejection_threshold))
+    run_id = f"_{uuid.uuid4().hex}"
+    staged = tuple(t + run_id for t in (T_ORDERS_STAGED, T_ORDER_REPEATS, T_ADS_STAGED))
+    try:
+        orders = ingest_orders(spark, orders_path, store, multi_line=multi_line, run_id=run_id)
+        ads = ingest_ads(spark, ads_path, store, multi_line=multi_line, run_id=run_id)
+        for source in (orders, ads):
+            enforce_threshold(source.report, float(params.dq_rejection_threshold))
+    except DaybookError:  # a refused run leaves nothing behind and changes nothing
+        for name in staged:
+            store.drop(name)
+        raise
 
     orders_seen, ads_seen = Observation(), Observation()
     checked_orders = check_orders(orders.rows, params, orders_seen)
@@ -167,6 +193,7 @@ def _rebuild(
         checked_orders,
         checked_ads,
         store,
+        staged,
     )
 
 

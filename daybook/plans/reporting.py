@@ -13,7 +13,7 @@ from daybook.functions.measures import (
     guarded_ratio,
     roas_band,
     roas_band_label,
-    round_half_even,
+    round_tenths,
 )
 from daybook.params import Params
 from daybook.sources.tables import TableStore
@@ -83,7 +83,7 @@ def period_kpis(model: DataFrame, params: Params) -> DataFrame:
         guarded_ratio(net, spend).alias("blended_roas"),
         guarded_ratio(spend, net).alias("meta_spend_ratio"),
         "total_orders",
-        round_half_even(hours, 1).alias("administrative_hours_saved"),
+        round_tenths(hours).alias("administrative_hours_saved"),
         F.lit(params.reporting_currency).alias("reporting_currency"),
     )
 

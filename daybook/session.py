@@ -47,7 +47,7 @@ def require_utc(spark: SparkSession) -> None:
     """Zone-less timestamps and business dates are only right in a UTC session."""
     zone = spark.conf.get("spark.sql.session.timeZone")
     if zone not in ("UTC", "Etc/UTC", "Z", "GMT", "+00:00"):
-        raise ParamError("spark.sql.session.timeZone must be UTC", zone=zone)
+        raise ParamError(f"spark.sql.session.timeZone must be UTC, not {zone}")
 
 
 def shared_folder(spark: SparkSession) -> str:

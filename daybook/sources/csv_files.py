@@ -25,6 +25,10 @@ UNNAMED = "Unnamed: "
 
 _SURPLUS_CELLS = "CSV row has more cells than the header: "
 _TORN_CELL = "CSV cell spans lines; read with multi_line: "
+# Whole cells, then one that opens with a quote and lasts to the end of the line.
+_OPEN_CELL = (
+    r'^(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]++|"")*+$'
+)
 _OTHER_HEADER = "CSV header does not conform to the schema"
 
 
@@ -48,6 +52,8 @@ def read_export(
     """
     header = _header_row(spark, path)
     match = match_header(header, wanted)  # header problems are fatal before any scan
+    if not multi_line:
+        _refuse_torn_cells(spark, path)
 
     schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, MALFORMED)])
     scan = (
@@ -86,7 +92,7 @@ def parse_failures(path: str) -> Iterator[None]:
     except (PySparkException, Py4JJavaError) as exc:
         for line in str(exc).splitlines():
             if any(sign in line for sign in (_SURPLUS_CELLS, _TORN_CELL, _OTHER_HEADER)):
-                raise SchemaError("CSV could not be parsed", path=path, error=line) from exc
+                raise SchemaError(f"{path} is not a usable CSV export: {line}") from exc
         raise
 
 
@@ -100,12 +106,24 @@ def _header_row(spark: SparkSession, path: str) -> list[str]:
             .head(1)
         )
     except AnalysisException as exc:
-        raise SchemaError("CSV file not found or empty", path=path) from exc
+        raise SchemaError(f"no CSV data at {path}") from exc
     if not first:
-        raise SchemaError("CSV file is empty", path=path)
+        raise SchemaError(f"no header in {path}: the CSV is empty")
     return [cell if cell else f"{UNNAMED}{i}" for i, cell in enumerate(first[0])]
 
 
+def _refuse_torn_cells(spark: SparkSession, path: str) -> None:
+    """Fail if any line opens a quoted cell that it does not close.
+
+    The parser sees such a line and the next as two rows, which may both have the right
+    number of cells, so every line is judged by its quoting. The pass reads lines only and
+    stops at the first torn one. A quote inside an unquoted cell is legal.
+    """
+    torn = spark.read.text(path).where(F.col("value").rlike(_OPEN_CELL)).head(1)
+    if torn:
+        raise SchemaError(f"{path} is not a usable CSV export: {_TORN_CELL}{torn[0][0]}")
+
+
 def _refuse_malformed(raw: Column, width: int, multi_line: bool) -> Column:
     """Fail on a surplus cell or a torn quoted cell; null otherwise.
 

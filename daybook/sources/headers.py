@@ -41,15 +41,13 @@ def match_header(headers: Sequence[str], wanted: Sequence[InputField]) -> Header
     """Match raw headers to canonical columns, or say what is wrong with them."""
     repeated = [h for h, n in Counter(headers).items() if n > 1]
     if repeated:
-        raise SchemaError("Duplicate column names detected in input", duplicates=repeated)
+        raise SchemaError(f"the header names these columns twice or more: {repeated}")
 
     by_normal: dict[str, str] = {}
     for raw in headers:
         earlier = by_normal.setdefault(normal_header(raw), raw)
         if earlier != raw:
-            raise SchemaError(
-                "Two raw headers normalize to the same name", first=earlier, second=raw
-            )
+            raise SchemaError(f"headers {earlier!r} and {raw!r} cannot be told apart")
 
     canonical_of: dict[str, str] = {}
     missing: list[str] = []
@@ -57,7 +55,7 @@ def match_header(headers: Sequence[str], wanted: Sequence[InputField]) -> Header
     for fld in wanted:
         claims = [by_normal[s] for s in fld.spellings if s in by_normal]
         if len(claims) > 1:
-            raise SchemaError("Several columns fit one field", field=fld.name, columns=claims)
+            raise SchemaError(f"columns {claims} all fit the field {fld.name}")
         if claims:
             canonical_of[claims[0]] = fld.name
         elif fld.required:
@@ -65,7 +63,9 @@ def match_header(headers: Sequence[str], wanted: Sequence[InputField]) -> Header
         else:
             absent.append(fld.name)
     if missing:
-        raise SchemaError("Missing required columns", missing=missing, provided=list(headers))
+        error = SchemaError(f"no column fits {missing}; the header has {list(headers)}")
+        error.missing = tuple(missing)
+        raise error
 
     return HeaderMatch(
         columns=tuple(canonical_of.get(h, h) for h in headers),

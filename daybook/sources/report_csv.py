@@ -45,7 +45,8 @@ def _as_text(name: str, kind: T.DataType) -> Column:
     places = RATIO_DECIMALS if name in EXPORT_RATIOS else MONEY_DECIMALS
     # A double prints as 1.0E7 from ten million on; a decimal never does.
     digits = round_half_even(value.cast("double"), places).try_cast(f"decimal(38,{places})")
-    return F.regexp_replace(digits.cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    shown = F.regexp_replace(digits.cast("string"), r"(\.[0-9]+?)0+$", "$1")
+    return F.coalesce(shown, value.cast("string"))  # too large for a decimal: its own text
 
 
 def write_report(model: DataFrame, path: str) -> None:

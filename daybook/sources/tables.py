@@ -48,6 +48,14 @@ class TableStore:
             return False
         return True
 
+    def drop(self, name: str) -> None:
+        """Remove a table if it is there."""
+        if self.database is not None:
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._qualified(name)}")
+            return
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self._path(name))
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
     def _path(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
 

@@ -43,7 +43,7 @@ def _every(key: str, n: int) -> Column:
 
 
 def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with lines: key, status code, moment (UTC), exact amounts."""
+    """One row per order (amounts are zero without lines): key, status code, moment (UTC), exact amounts."""
     # Whole cents and per cents: sums of longs are exact and cheap.
     cents, off, tax = (
         F.round(F.col(c) * 100).cast("bigint") for c in ("l_extendedprice", "l_discount", "l_tax")
@@ -60,7 +60,8 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def scaled(units: Column, places: int) -> Column:
         step = F.lit(Decimal(1).scaleb(-places))
-        return (units.cast("decimal(18,0)") * step).cast(f"decimal(20,{places})")
+        whole = F.coalesce(units, F.lit(0)).cast("decimal(18,0)")
+        return (whole * step).cast(f"decimal(20,{places})")
 
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"),
@@ -68,7 +69,7 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderdate").cast("timestamp").alias("day_start"),
     )
     clock = F.make_dt_interval(F.lit(0), F.col("k") % 24, F.col("k") % 60, F.lit(0))
-    return orders.join(lines, orders["k"] == lines["l_orderkey"]).select(
+    return orders.join(lines, orders["k"] == lines["l_orderkey"], "left").select(
         "k",
         "code",
         "day_start",

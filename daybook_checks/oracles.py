@@ -20,9 +20,11 @@ lines AS (
 order_facts AS (
     SELECT o_orderkey AS k, o_orderstatus AS code, o_orderdate AS day_start,
            o_orderdate + to_hours(o_orderkey % 24) + to_minutes(o_orderkey % 60) AS moment,
-           CAST(gross AS DECIMAL(20,2)) AS gross, CAST(discount AS DECIMAL(20,4)) AS discount,
-           CAST(gross - discount AS DECIMAL(20,4)) AS net, CAST(tax AS DECIMAL(20,4)) AS tax
-    FROM orders JOIN lines ON o_orderkey = l_orderkey
+           CAST(coalesce(gross, 0) AS DECIMAL(20,2)) AS gross,
+           CAST(coalesce(discount, 0) AS DECIMAL(20,4)) AS discount,
+           CAST(coalesce(gross - discount, 0) AS DECIMAL(20,4)) AS net,
+           CAST(coalesce(tax, 0) AS DECIMAL(20,4)) AS tax
+    FROM orders LEFT JOIN lines ON o_orderkey = l_orderkey
 ),
 ad_facts AS (
     SELECT event_id AS e, event_type AS kind, CAST(ts AS DATE) - 10602 AS day,
@@ -170,14 +172,17 @@ model AS (
 
 
 def _exact(column: str) -> str:
-    return f"CAST(coalesce(sum(CAST(round({column}, 6) AS DECIMAL(28,6))), 0) AS DOUBLE)"
+    held = f"CAST({column} AS DECIMAL(26,8))"
+    return (
+        f"coalesce(CAST(sum({held}) AS DOUBLE) + sum({column} - CAST({held} AS DOUBLE)), 0.0)"
+    )
 
 
 # ------------------------------------------------------------------ expressions
 
 ORACLES["money_parse"] = f"""
 WITH {FACTS}
-SELECT k, CASE WHEN k % 97 = 0 THEN NULL WHEN k % 43 = 0 THEN -CAST(net AS DOUBLE)
+SELECT k, CASE WHEN k % 97 = 0 THEN NULL WHEN k % 43 = 0 THEN CAST(-net AS DOUBLE)
                ELSE CAST(net AS DOUBLE) END AS amount
 FROM order_facts"""
 

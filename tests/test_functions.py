@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from daybook.functions.measures import round_tenths
 from daybook import CurrencyError, Params
 from daybook import functions as fn
 from tests.conftest import evaluate
@@ -80,9 +81,32 @@ def test_money(spark):
 
 
 def test_long_digit_runs_do_not_overflow(spark):
-    got = evaluate(spark, fn.parse_money, ["9" * 200, "9" * 400, "-" + "1" * 250, "1e99", "1e100"])
-    assert got[0] == pytest.approx(1e200) and got[3] == 1e99
-    assert got[1] is None and got[2] is None and got[4] is None
+    texts = ["9" * 200, "9" * 400, "-" + "1" * 305, "1e99", "1e100", "1.5E+120", "1e308", "1e309"]
+    got = evaluate(spark, fn.parse_money, texts)
+    assert got[0] == pytest.approx(1e200) and got[2] == pytest.approx(-1.1111111e304)
+    assert got[3:7] == [1e99, 1e100, 1.5e120, 1e308]
+    assert got[1] is None and got[7] is None
+
+
+def test_odd_offsets(spark):
+    texts = ["2026-09-01T22:30:00+03:00:00", "2026-09-01 22:30:00+1900", "2026-09-01T22:30:00-23:59"]
+    got = evaluate(spark, fn.parse_timestamp, [*texts, "2026-09-01T22:30:00+2400"])
+    assert got[:3] == [
+        datetime(2026, 9, 1, 19, 30), datetime(2026, 9, 1, 3, 30), datetime(2026, 9, 2, 22, 29)
+    ]
+    assert got[3] is None
+
+
+def test_sums_keep_tiny_and_huge_amounts(spark):
+    tiny = spark.range(1000).select(fn.exact_sum(F.lit(4e-9)).alias("x")).head()[0]
+    assert tiny == pytest.approx(4e-6)
+    mixed = spark.createDataFrame([(1e200,), (0.1,), (None,)], "v double")
+    assert mixed.select(fn.exact_sum(F.col("v"))).head()[0] == 1e200
+
+
+def test_tenths_round_by_the_stored_value(spark):
+    values = [4.35, 0.35, 2.675 * 2, 0.25, 0.75, 2.5, 1.05]
+    assert evaluate(spark, round_tenths, values, "double") == [round(v, 1) for v in values]
 
 
 def utc(*parts) -> datetime:

@@ -57,7 +57,7 @@ def test_rate_of_the_reporting_currency_is_one():
 
 
 def test_unknown_currency():
-    with pytest.raises(CurrencyError, match="No FX rate configured for GBP"):
+    with pytest.raises(CurrencyError, match="no rate from GBP"):
         Params().rate_from("GBP")
 
 

@@ -207,14 +207,14 @@ def test_rejected_rows_can_be_looked_at(spark, tmp_path, store):
 def test_only_ingestion_counts_for_the_threshold(spark, exports, tmp_path, store):
     run(spark, *exports, store, Params(dq_rejection_threshold=0))  # 2 of 8 excluded later
     messy = save(tmp_path, MESSY_ORDERS, MESSY_ADS)
-    with pytest.raises(DataQualityError, match="41.7% exceeds threshold 40.0%"):
+    with pytest.raises(DataQualityError, match="rows were rejected"):
         run(spark, *messy, store, Params(dq_rejection_threshold="0.4"))
 
 
 def test_unusable_input(spark, exports, tmp_path, store):
     with pytest.raises(SchemaError):
         run(spark, str(tmp_path / "absent.csv"), exports[1], store)
-    with pytest.raises(SchemaError, match="Missing required"):
+    with pytest.raises(SchemaError, match="no column fits"):
         run(spark, exports[1], exports[0], store)
     wide = save(tmp_path, [ORDER_HEADER, "1,2,3,4,5,6,7,8,9,10"], [AD_HEADER])
     with pytest.raises(SchemaError, match="more cells"):

@@ -19,7 +19,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from daybook.llm.common import binary_rows, plain, ragged, record, slices, texts
@@ -408,7 +408,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return plain(encoded, "doc_id", "ids").mapInArrow(run, ENCODED + ", data binary")
 
 
-def round_trip(spark: SparkSession, docs: DataFrame, vocabulary: str) -> DataFrame:
+def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Encode, decode, and reduce both to digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
     both = decode(encode(docs, vocabulary), vocabulary)
     return both.select(

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import exp, log1p
@@ -107,19 +108,13 @@ def fit(batch: list[str], labels: np.ndarray, settings: Settings = Settings()) -
     labels = np.asarray(labels, dtype=float)
     if not len(labels) or labels.min() == labels.max():
         return Model(20.0 if len(labels) and labels[0] else -40.0, {}, settings)
-    known: dict[str, np.ndarray] = {}
-    bags: list[list[np.ndarray]] = []
+    # First pass: in how many documents of each class every feature occurs.
     counts = np.zeros((2, settings.buckets), dtype=np.int32)
     for text, label in zip(batch, labels, strict=True):
-        bag = []
-        for _, _, words in sentences(text):
-            for w in words:
-                if w not in known:
-                    known[w] = np.fromiter(features_of(w, settings), dtype=np.int32)
-            bag.append(np.concatenate([known[w] for w in words]) if words else np.zeros(0, np.int32))
-        bags.append(bag)
-        if bag:
-            counts[int(label), np.unique(np.concatenate(bag))] += 1
+        found: set[int] = set()
+        for word in {w for _, _, words in sentences(text) for w in words}:
+            found |= features_of(word, settings)
+        counts[int(label), np.fromiter(found, dtype=np.int64, count=len(found))] += 1
     # Features that tell the classes apart best, by the squared difference of document shares.
     n = np.array([(labels == 0).sum(), (labels == 1).sum()], dtype=float)
     share = counts / n[:, None]
@@ -131,16 +126,23 @@ def fit(batch: list[str], labels: np.ndarray, settings: Settings = Settings()) -
     place = np.full(settings.buckets, -1, dtype=np.int64)
     place[chosen] = np.arange(len(chosen))
 
-    owner, row, column = [], [], []
-    for k, bag in enumerate(bags):
-        for s in bag:
-            at = place[s]
-            at = at[at >= 0]
-            row.append(np.full(len(at), len(owner)))
-            column.append(at)
+    # Second pass: the chosen features of every sentence. Few words have any.
+    known: dict[str, list[int]] = {}
+    none: list[int] = []
+    owner, row, column = array("q"), array("q"), array("q")
+    for k, text in enumerate(batch):
+        for _, _, words in sentences(text):
+            for word in words:
+                if word not in known:
+                    places = [int(place[f]) for f in sorted(features_of(word, settings)) if place[f] >= 0]
+                    if len(known) > 200_000:
+                        known.clear()
+                    known[word] = places or none
+                if places := known[word]:
+                    column.extend(places)
+                    row.extend([len(owner)] * len(places))
             owner.append(k)
-    owner = np.array(owner)
-    row, column = np.concatenate(row), np.concatenate(column)
+    owner, row, column = (np.frombuffer(x, dtype=np.int64) if x else np.zeros(0, np.int64) for x in (owner, row, column))
     w, bias = np.zeros(len(chosen) + 1), -5.0
     first, second = np.zeros_like(w), np.zeros_like(w)
     balance = np.where(labels > 0, 0.5 / n[1], 0.5 / n[0])

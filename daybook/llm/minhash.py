@@ -198,6 +198,11 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_plain_id(rows: DataFrame) -> DataFrame:
+    """The id as two columns without nulls, so that a join and what follows it share a partitioning."""
+    return rows.select("*", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("no_id"))
+
+
 def _verified(pairs: DataFrame, written: DataFrame, settings: Settings) -> DataFrame:
     """Pairs (a, b) whose texts have at least the threshold's similarity; ``written`` has uid and text."""
     schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
@@ -387,13 +392,12 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     # Texts of the documents that some bucket holds with others; the only time that texts move.
     wanted = members.select("uid").distinct().join(lean.select("uid", "doc_id", "text_hash"), "uid")
-    source = _keyed(docs).where("text is not null")
-    written = source.join(
-        wanted.withColumnsRenamed({"doc_id": "id", "text_hash": "hash"}).hint("merge"),
-        (F.col("text_hash") == F.col("hash")) & F.col("doc_id").eqNullSafe(F.col("id")),
-    )
-    # Repeated rows have the same text, so any of them will do.
-    written = settle(written.dropDuplicates(["uid"]).select("uid", "text"), "bucket-texts")
+    at = ["text_hash", "id", "no_id"]
+    source = _with_plain_id(_keyed(docs).where("text is not null")).select(*at, "text")
+    # Repeated rows have the same text, so any of them will do. Each task sends one of them, and
+    # the join takes the rows where they lie.
+    written = source.dropDuplicates(at).join(_with_plain_id(wanted).select(*at, "uid").hint("merge"), at)
+    written = settle(written.select("uid", "text"), "bucket-texts")
     links = settle(_verified(candidates, written, settings), "links")
     groups = settle(components(links), "classes")
 

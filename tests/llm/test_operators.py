@@ -184,6 +184,18 @@ def test_near_duplicates_match_brute_force(docs, texts):
     assert got == {d: texts[root(i)][0] for i, (d, _) in enumerate(texts)}
 
 
+def test_near_duplicates_link_repeated_rows_and_null_ids(spark):
+    words = [f"w{k}" for k in range(200)]
+    near = [*words[:100], "other", *words[101:]]
+    rows = [(0, words), (0, words), (None, near), (None, near), (7, words[::-1])]
+    rows = [(doc_id, " ".join(w)) for doc_id, w in rows]
+    made = spark.createDataFrame(rows, "doc_id long, text string")
+    got = minhash.near_duplicates(made).collect()
+    assert sorted((r.class_id, r.doc_id is None, r.kept) for r in got) == [
+        (0, False, False), (0, False, True), (0, True, False), (0, True, False), (7, False, True)
+    ]
+
+
 def test_packing_ids_places_and_number(docs, texts):
     from tokenizers import Tokenizer
 

@@ -39,13 +39,14 @@ _COMPLETES = {QUOTE_R: E, QUOTE_V: E, QUOTE_L: L}
 
 #: Pieces of up to this many bytes are merged side by side in arrays, longer ones one by one.
 SIDE_BY_SIDE = 48
-#: The cache of merged pieces starts anew at this size.
-CACHE_PIECES = 400_000
+#: Bytes that a cache of merged pieces holds in a worker, and what an entry takes besides its own.
+CACHE_BYTES = 24_000_000
+ENTRY_BYTES = 120
 #: Pieces longer than this are not cached.
-CACHE_BYTES = 64
+KEPT_PIECE = 64
 _BLOCK = 64
 #: Bytes of text encoded at a time.
-SLICE = 2_000_000
+SLICE = 1_000_000
 
 
 def _automaton() -> tuple[np.ndarray, np.ndarray]:
@@ -134,46 +135,54 @@ def piece_starts(points: np.ndarray) -> np.ndarray:
 
 
 class KnownIds:
-    """Ids of pieces, each worked out once by ``fill`` and kept; the cache is bounded.
+    """Ids of byte slices, each distinct one worked out once by ``fill`` and kept for later calls.
 
-    ``fill`` turns a list of pieces into all their ids and the number of ids of each.
+    ``fill`` turns a list of byte strings into all their ids and the number of ids of each.
+    What is kept is bounded by bytes: beyond the bound the cache starts anew.
     """
 
-    def __init__(self, fill: Callable[[list], tuple[np.ndarray, np.ndarray]]):
+    def __init__(self, fill: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.fill = fill
         self._forget()
 
     def _forget(self) -> None:
-        self.numbers: dict = {}
+        self.numbers: dict[bytes, int] = {}
+        self.held = 0
         self.flat = np.zeros(0, dtype=np.int32)
         self.sizes = np.zeros(0, dtype=np.int64)
-        self.starts = np.zeros(0, dtype=np.int64)
 
-    def __call__(self, pieces: list) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of all pieces one after the other, and how many ids each piece has."""
-        if len(self.numbers) > CACHE_PIECES:
+    def __call__(
+        self, data: np.ndarray, cuts: np.ndarray, real: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the slices of ``data`` between neighbouring cuts, and how many each slice has.
+
+        ``real`` says which slices count; all do without it.
+        """
+        if self.held > CACHE_BYTES:
             self._forget()
-        numbers = self.numbers
-        new = list({p for p in pieces if p not in numbers})
-        short = [p for p in new if len(p) <= CACHE_BYTES]
-        if short:
-            flat, sizes = self.fill(short)
-            numbers.update(zip(short, range(len(numbers), len(numbers) + len(short)), strict=True))
-            self.flat = np.concatenate((self.flat, flat))
-            self.sizes = np.concatenate((self.sizes, sizes))
-            self.starts = np.cumsum(self.sizes) - self.sizes
-        flat, sizes, starts = self.flat, self.sizes, self.starts
-        if len(short) < len(new):
-            long = [p for p in new if len(p) > CACHE_BYTES]
-            extra, extra_sizes = self.fill(long)
-            once = dict(zip(long, range(len(numbers), len(numbers) + len(long)), strict=True))
-            which = np.array([once[p] if p in once else numbers[p] for p in pieces], dtype=np.int64)
-            flat, sizes = np.concatenate((flat, extra)), np.concatenate((sizes, extra_sizes))
-            starts = np.cumsum(sizes) - sizes
-        else:
-            which = np.fromiter(map(numbers.__getitem__, pieces), dtype=np.int64, count=len(pieces))
-        counts = sizes[which]
-        return flat[ragged(starts[which], counts)], counts
+        offsets = pa.py_buffer(cuts.astype(np.int32))
+        column = pa.BinaryArray.from_buffers(pa.binary(), len(cuts) - 1, [None, offsets, pa.py_buffer(data)])
+        coded = column.dictionary_encode()
+        which, bounds = coded.indices.to_numpy(), np.frombuffer(coded.dictionary.buffers()[1], dtype=np.int32)
+        bounds = bounds[: len(coded.dictionary) + 1].tolist()
+        held = memoryview(coded.dictionary.buffers()[2] or b"")
+        distinct = [held[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+        if real is not None:
+            which = which[real]
+        new = [p for p in distinct if p not in self.numbers]
+        if keep := [p for p in new if len(p) <= KEPT_PIECE]:
+            flat, sizes = self.fill(keep)
+            self.numbers.update(zip(keep, range(len(self.sizes), len(self.sizes) + len(keep)), strict=True))
+            self.flat, self.sizes = np.concatenate((self.flat, flat)), np.concatenate((self.sizes, sizes))
+            self.held += sum(map(len, keep)) + ENTRY_BYTES * len(keep)
+        flat, sizes, numbers = self.flat, self.sizes, self.numbers
+        if once := [p for p in new if len(p) > KEPT_PIECE]:
+            more, more_sizes = self.fill(once)
+            numbers = numbers | dict(zip(once, range(len(sizes), len(sizes) + len(once)), strict=True))
+            flat, sizes = np.concatenate((flat, more)), np.concatenate((sizes, more_sizes))
+        place = np.fromiter(map(numbers.__getitem__, distinct), dtype=np.int64, count=len(distinct))[which]
+        counts = sizes[place]
+        return flat[ragged((np.cumsum(sizes) - sizes)[place], counts)], counts
 
 
 class ByteBPE:
@@ -207,15 +216,14 @@ class ByteBPE:
         ranks = np.fromiter(pairs.values(), dtype=np.int32, count=len(pairs))
         levels, factor = [], 0x9E3779B97F4A7C15
         while len(keys):
-            bits = max(8, int(np.ceil(np.log2(len(keys)))) + 3)
+            bits = max(8, int(np.ceil(np.log2(len(keys)))) + 2)
             shift = np.uint64(64 - bits)
             slot = ((keys.astype(np.uint64) * np.uint64(factor)) >> shift).astype(np.int64)
-            _, first = np.unique(slot, return_index=True)
             table, value = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
-            table[slot[first]], value[slot[first]] = keys[first], ranks[first]
+            table[slot] = keys  # one of those that share a slot stays
+            rest = table[slot] != keys
+            value[slot[~rest]] = ranks[~rest]
             levels.append((np.uint64(factor), shift, table, value))
-            rest = np.ones(len(keys), bool)
-            rest[first] = False
             keys, ranks, factor = keys[rest], ranks[rest], (factor * 0xD1342543DE82EF95 + 2) % 2**64 | 1
         return levels
 
@@ -316,22 +324,21 @@ class ByteBPE:
             flat[ragged(start[rows], counts[rows])] = ids
         return flat, counts
 
-    def encode(self, batch: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def encode(self, batch: list[str] | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the end of each text among them."""
-        raw = "\0".join(batch) + "\0"
-        points = np.frombuffer(raw.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
-        ends = np.cumsum(np.fromiter(map(len, batch), dtype=np.int64, count=len(batch)) + 1) - 1
-        points[ends] = 0x110000
-        begins = np.flatnonzero(piece_starts(points))
+        batch = [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") for t in batch]
+        data = b"\0".join(batch) + b"\0"
+        text = data.decode("utf-8", "surrogatepass")
+        points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32).copy()
         width = (1 + (points > 0x7F) + (points > 0x7FF) + (points > 0xFFFF)).astype(np.int64)
-        width[ends] = 1
         byte_at = np.cumsum(width) - width
-        data = raw.encode("utf-8", "surrogatepass")
-        cuts = byte_at[begins]
-        stop = np.append(cuts[1:], len(data))
+        byte_ends = np.cumsum(np.fromiter(map(len, batch), dtype=np.int64, count=len(batch)) + 1) - 1
+        ends = np.searchsorted(byte_at, byte_ends)
+        points[ends] = 0x110000
+        begins = np.flatnonzero(piece_starts(points))
         real = points[begins] != 0x110000
-        pieces = [data[a:b] for a, b in zip(cuts[real].tolist(), stop[real].tolist(), strict=True)]
-        ids, counts = self.known(pieces)
+        cuts = np.append(byte_at[begins], len(data))
+        ids, counts = self.known(np.frombuffer(data, dtype=np.uint8), cuts, real)
         upto = np.cumsum(counts)
         per_text = np.searchsorted(begins[real], ends, "left")
         return ids, np.where(per_text > 0, upto[np.maximum(per_text, 1) - 1] if len(upto) else 0, 0)
@@ -408,9 +415,27 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return plain(encoded, "doc_id", "ids").mapInArrow(run, ENCODED + ", data binary")
 
 
+def encode_and_decode(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """``decode(encode(docs))`` in one pass, so that a task needs one Python worker, not two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = rank_file(vocabulary)
+        for part in slices(batches, limit=SLICE):
+            ids, ends = bpe.encode(texts(part))
+            data, lengths = bpe.decode(ids)
+            upto = np.concatenate(([0], np.cumsum(lengths)))
+            stored = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8)
+            yield record(
+                _DECODED, part.column("doc_id"), binary_rows(stored, ends * 4), binary_rows(data, upto[ends])
+            )
+
+    named = plain(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text")
+    return named.mapInArrow(run, ENCODED + ", data binary")
+
+
 def round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:
     """Encode, decode, and reduce both to digests: doc_id, n_tokens, ids_sha256, decoded_sha256."""
-    both = decode(encode(docs, vocabulary), vocabulary)
+    both = encode_and_decode(docs, vocabulary)
     return both.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),

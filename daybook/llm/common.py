@@ -111,13 +111,25 @@ class WordTable:
     def hashes(self) -> np.ndarray:
         return span_hashes(self.data, self.start, self.start + self.length)
 
+    def kept_texts(self, keep: np.ndarray) -> list[str]:
+        """Every text's words that ``keep`` marks, joined by one space."""
+        at = np.flatnonzero(keep)
+        data = self.data[ragged(self.start[at], self.length[at] + 1)].tobytes()
+        ends = np.append(0, np.cumsum(self.length[at] + 1))
+        upto = np.searchsorted(at, self.first).tolist()
+        return [
+            data[ends[lo] : max(ends[hi] - 1, ends[lo])].decode("utf-8", "surrogatepass")
+            for lo, hi in zip(upto[:-1], upto[1:], strict=True)
+        ]
+
 
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _powers: list[np.ndarray] = []
 
 
-def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base of span hashes and of its inverse, ``n`` or more."""
     if not _powers or len(_powers[0]) <= n:
         size = max(n + 1, 1 << 20)
         for k, base in enumerate((_BASE, pow(_BASE, -1, 2**64))):
@@ -131,12 +143,24 @@ def _power_table(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """A 64-bit hash of every byte span, by differences of one running polynomial sum."""
-    power, inverse = _power_table(len(data))
+    power, inverse = power_table(len(data))
     sums = np.zeros(len(data) + 1, dtype=np.uint64)
     np.cumsum(_BYTE_VALUES[data] * power[: len(data)], out=sums[1:])
     return mix((sums[end] - sums[start]) * inverse[start])
 
 
+def sliding_least(x: np.ndarray, width: int) -> np.ndarray:
+    """The least of every ``width`` consecutive values, by doubling."""
+    n = len(x) - width + 1
+    if n <= 0:
+        return x[:0]
+    reach = 1
+    while reach * 2 <= width:
+        x = np.minimum(x[:-reach], x[reach:])
+        reach *= 2
+    return np.minimum(x[:n], x[width - reach : width - reach + n])
+
+
 def packed_words(hashes: np.ndarray, width: int) -> np.ndarray:
     """A hash of every ``width`` consecutive hashes; the last ``width - 1`` have none."""
     n = max(0, len(hashes) - width + 1)
@@ -155,6 +179,8 @@ def plain(docs: DataFrame, *names: str) -> DataFrame:
 def ship(spark: SparkSession) -> SparkSession:
     """Let Python workers import this package wherever they run; once per session."""
     context = spark.sparkContext
+    # Texts are long: small batches keep the memory of workers small.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
     if getattr(context, "_daybook_shipped", False):
         return spark
     root = Path(__file__).resolve().parent.parent

@@ -24,8 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.bpe import SLICE, WHITE, KnownIds, json_file
-from daybook.llm.common import plain, record, slices, texts
+from daybook.llm.bpe import SLICE, json_file
+from daybook.llm.common import plain, ragged, record, slices, texts
 from daybook.session import settle
 
 
@@ -47,10 +47,6 @@ class Limits:
     block: int = 8192
 
 
-_WHITE = "".join(f"\\u{c:04x}" for c in WHITE)
-#: White space and what follows up to the next: a piece of the tokenizer never crosses these cuts.
-_CHUNK = re.compile(f"[{_WHITE}]*[^{_WHITE}]+|[{_WHITE}]+")
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECES = pa.schema(
     [
@@ -67,42 +63,33 @@ class Tokenizer:
     """Ids of whole texts as the tokenizer file defines them, special strings included."""
 
     def __init__(self, path: str):
-        self.bpe, self.special = json_file(path)
-        self.known = KnownIds(self._fill)
-        self.apart = None
-        if self.special:
-            longest_first = sorted(self.special, key=len, reverse=True)
-            self.apart = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
-
-    def _fill(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        ids, ends = self.bpe.encode(chunks)
-        counts = np.diff(ends, prepend=0)
-        for k, chunk in enumerate(chunks):
-            if chunk in self.special:  # a text is cut there, so no other chunk has this content
-                before = int(counts[:k].sum())
-                rest = ids[before + counts[k] :]
-                ids = np.concatenate((ids[:before], [self.special[chunk]], rest)).astype(np.int32)
-                counts[k] = 1
-        return ids, counts
-
-    def _chunks(self, text: str) -> list[str]:
-        if self.apart is None or not any(s in text for s in self.special):
-            return _CHUNK.findall(text)
-        found = []
-        for part in self.apart.split(text):
-            found += [part] if part in self.special else _CHUNK.findall(part)
-        return found
-
-    def encode(self, batch: list[str]) -> list[np.ndarray]:
-        chunks, ends = [], []
-        for text in batch:
-            chunks += self._chunks(text)
-            ends.append(len(chunks))
-        if not chunks:
-            return [np.zeros(0, np.int32)] * len(batch)
-        ids, counts = self.known(chunks)
-        upto = np.concatenate(([0], np.cumsum(counts)))
-        return np.split(ids, upto[ends[:-1]]) if len(batch) > 1 else [ids]
+        self.bpe, special = json_file(path)
+        self.special = {text.encode(): number for text, number in special.items()}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.apart = re.compile(b"(" + b"|".join(map(re.escape, longest_first)) + b")") if special else None
+
+    def encode(self, batch: list[str] | list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and the end of each text among them."""
+        batch = [t if isinstance(t, bytes) else t.encode("utf-8", "surrogatepass") for t in batch]
+        if self.apart is None or not any(map(self.apart.search, batch)):
+            return self.bpe.encode(batch)
+        # A text is cut around special strings; between two of them lies what is encoded.
+        parts = [self.apart.split(t) for t in batch]
+        ids, ends = self.bpe.encode([p for own in parts for p in own[::2]])
+        ordinary = iter(np.split(ids, ends[:-1]))
+        found, bounds = [], []
+        for own in parts:
+            for k, part in enumerate(own):
+                found.append(np.array([self.special[part]], np.int32) if k % 2 else next(ordinary))
+            bounds.append(len(found))
+        upto = np.cumsum([len(f) for f in found])
+        return np.concatenate(found), upto[np.array(bounds) - 1]
+
+
+def with_end(coder: Tokenizer, batch: list, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, ``end_id`` after each, and the bounds of the texts among them."""
+    ids, ends = coder.encode(batch)
+    return np.insert(ids, ends, end_id).astype("<u4"), np.append(0, ends + np.arange(1, len(ends) + 1))
 
 
 def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, tokens: int = 2048) -> DataFrame:
@@ -113,19 +100,20 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, tokens: int = 2048)
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = _tokenizer(tokenizer)
+        coder = tokenizer_of(tokenizer)
         for part in slices(batches, limit=SLICE):
-            rows: tuple[list, ...] = ([], [], [], [], [])
-            for doc_id, ids in zip(part.column("doc_id").to_pylist(), coder.encode(texts(part)), strict=True):
-                data = np.append(ids, end_id).astype("<u4")
-                begin, number = 0, 0
-                stop = len(data) - (len(data) - 1) // tokens * tokens
-                while begin < len(data):
-                    crc = zlib.crc32(data[begin:stop].tobytes())
-                    for column, value in zip(rows, (doc_id, number, begin, stop - begin, crc), strict=True):
-                        column.append(value)
-                    begin, stop, number = stop, stop + tokens, number + 1
-            yield record(_PIECES, *rows)
+            ids, bounds = with_end(coder, texts(part), end_id)
+            length = np.diff(bounds)
+            count = -(-length // tokens)
+            owner = np.repeat(np.arange(len(length)), count)
+            number = ragged(np.zeros(len(length), np.int64), count)
+            first = (length - (count - 1) * tokens)[owner]
+            start = np.where(number > 0, first + (number - 1) * tokens, 0)
+            size = np.where(number > 0, tokens, first)
+            begin = (bounds[:-1][owner] + start) * 4
+            raw = memoryview(ids).cast("B")
+            crc = [zlib.crc32(raw[a:b]) for a, b in zip(begin.tolist(), (begin + size * 4).tolist(), strict=True)]
+            yield record(_PIECES, part.column("doc_id").take(pa.array(owner)), number.astype(np.int32), start, size, crc)
 
     return plain(docs.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id", "text").mapInArrow(run, PIECES)
 
@@ -133,7 +121,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, tokens: int = 2048)
 _coders: dict[str, Tokenizer] = {}
 
 
-def _tokenizer(path: str) -> Tokenizer:
+def tokenizer_of(path: str) -> Tokenizer:
     if path not in _coders:
         _coders.clear()
         _coders[path] = Tokenizer(path)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections import Counter
 from dataclasses import dataclass
 
@@ -22,7 +21,6 @@ from daybook.contracts import (
     T_ORDERS_DAILY,
     T_ORDERS_STAGED,
 )
-from daybook.errors import DaybookError
 from daybook.operators.ads import ads_clean, check_ads, flag_ads, interval_samples
 from daybook.operators.daily import ads_daily, orders_daily
 from daybook.operators.orders import (
@@ -43,7 +41,11 @@ from daybook.plans.daily_model import model_from_daily
 from daybook.session import require_utc, tuned
 from daybook.sources.csv_files import parse_failures, read_export
 from daybook.sources.headers import HeaderMatch
-from daybook.sources.tables import TableStore
+from daybook.sources.tables import TableStore, Version
+
+
+#: tables with the rows of one run as they came in
+STAGED = (T_ORDERS_STAGED, T_ORDER_REPEATS, T_ADS_STAGED)
 
 
 @dataclass(frozen=True)
@@ -62,17 +64,20 @@ class RunResult:
     checked_orders: DataFrame
     checked_ads: DataFrame
     store: TableStore
-    #: tables that hold the raw rows of this run; no other run writes to them
-    staged: tuple[str, ...]
+    #: the tables this run wrote, the raw rows that the ``checked`` frames read among them
+    version: Version
 
     def discard_staged(self) -> None:
-        """Remove this run's raw rows; the ``checked`` frames cannot be read after that."""
-        for name in self.staged:
-            self.store.drop(name)
+        """Remove this run's raw rows; the ``checked`` frames cannot be read after that.
+
+        Otherwise they go with the run's other tables, when later runs have replaced these.
+        """
+        for name in STAGED:
+            self.version.drop(name)
 
     @property
     def model(self) -> DataFrame:
-        return self.store.read(T_MODEL)
+        return self.version.read(T_MODEL)
 
     def unknown_statuses(self) -> DataFrame:
         """Statuses that were excluded only because no parameter knows them."""
@@ -95,10 +100,9 @@ class Ingested:
 def ingest_orders(
     spark: SparkSession,
     path: str,
-    store: TableStore,
+    store: TableStore | Version,
     *,
     multi_line: bool = False,
-    run_id: str = "",
 ) -> Ingested:
     """Read, map, check required values and mark repeated orders.
 
@@ -107,8 +111,8 @@ def ingest_orders(
     """
     raw, header = read_export(spark, path, ORDER_FIELDS, multi_line=multi_line)
     with parse_failures(path):
-        staged = store.write(flag_orders(raw), T_ORDERS_STAGED + run_id)
-    repeats = store.write(repeated_keys(staged), T_ORDER_REPEATS + run_id)
+        staged = store.write(flag_orders(raw), T_ORDERS_STAGED)
+    repeats = store.write(repeated_keys(staged), T_ORDER_REPEATS)
 
     structural = dq_report(staged, "orders")
     surplus = repeats.agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0))).head()[0]
@@ -120,15 +124,14 @@ def ingest_orders(
 def ingest_ads(
     spark: SparkSession,
     path: str,
-    store: TableStore,
+    store: TableStore | Version,
     *,
     multi_line: bool = False,
-    run_id: str = "",
 ) -> Ingested:
     """Read, map and check required values."""
     raw, header = read_export(spark, path, AD_FIELDS, multi_line=multi_line)
     with parse_failures(path):
-        staged = store.write(flag_ads(raw), T_ADS_STAGED + run_id)
+        staged = store.write(flag_ads(raw), T_ADS_STAGED)
     return Ingested(staged, dq_report(staged, "ads"), header)
 
 
@@ -145,6 +148,8 @@ def run(
 
     Raises ``SchemaError`` for unusable files and ``DataQualityError`` when
     ingestion alone rejects too many rows; rows rejected later do not count.
+    All tables are published in one step at the end; a run that fails, for whatever
+    reason and wherever, leaves the tables before it.
     """
     require_utc(spark)
     params = params or Params()
@@ -163,38 +168,32 @@ def _rebuild(
     params: Params,
     multi_line: bool,
 ) -> RunResult:
-    run_id = f"_{uuid.uuid4().hex}"
-    staged = tuple(t + run_id for t in (T_ORDERS_STAGED, T_ORDER_REPEATS, T_ADS_STAGED))
-    try:
-        orders = ingest_orders(spark, orders_path, store, multi_line=multi_line, run_id=run_id)
-        ads = ingest_ads(spark, ads_path, store, multi_line=multi_line, run_id=run_id)
+    with store.begin() as version:  # any error removes what was written and changes nothing
+        orders = ingest_orders(spark, orders_path, version, multi_line=multi_line)
+        ads = ingest_ads(spark, ads_path, version, multi_line=multi_line)
         for source in (orders, ads):
             enforce_threshold(source.report, float(params.dq_rejection_threshold))
-    except DaybookError:  # a refused run leaves nothing behind and changes nothing
-        for name in staged:
-            store.drop(name)
-        raise
-
-    orders_seen, ads_seen = Observation(), Observation()
-    checked_orders = check_orders(orders.rows, params, orders_seen)
-    checked_ads = check_ads(ads.rows, ads_seen)
-    clean_orders = store.write(orders_clean(checked_orders, params), T_ORDERS_CLEAN)
-    clean_ads = store.write(ads_clean(checked_ads, params), T_ADS_CLEAN)
-
-    orders_by_day = store.write(orders_daily(clean_orders, unique_orders=True), T_ORDERS_DAILY)
-    ads_by_day = store.write(ads_daily(clean_ads), T_ADS_DAILY)
-    store.write(model_from_daily(orders_by_day, ads_by_day, params), T_MODEL)
-    return RunResult(
-        params,
-        _final_report(orders, orders_seen, clean_orders, checked_orders),
-        _final_report(ads, ads_seen, clean_ads, checked_ads),
-        orders.header,
-        ads.header,
-        checked_orders,
-        checked_ads,
-        store,
-        staged,
-    )
+
+        orders_seen, ads_seen = Observation(), Observation()
+        checked_orders = check_orders(orders.rows, params, orders_seen)
+        checked_ads = check_ads(ads.rows, ads_seen)
+        clean_orders = version.write(orders_clean(checked_orders, params), T_ORDERS_CLEAN)
+        clean_ads = version.write(ads_clean(checked_ads, params), T_ADS_CLEAN)
+
+        orders_by_day = version.write(orders_daily(clean_orders, unique_orders=True), T_ORDERS_DAILY)
+        ads_by_day = version.write(ads_daily(clean_ads), T_ADS_DAILY)
+        version.write(model_from_daily(orders_by_day, ads_by_day, params), T_MODEL)
+        return RunResult(
+            params,
+            _final_report(orders, orders_seen, clean_orders, checked_orders),
+            _final_report(ads, ads_seen, clean_ads, checked_ads),
+            orders.header,
+            ads.header,
+            checked_orders,
+            checked_ads,
+            store,
+            version,
+        )
 
 
 def _final_report(

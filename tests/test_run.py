@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import time
 from datetime import date
 
 import pytest
 
 from daybook import CurrencyError, DataQualityError, Params, SchemaError
-from daybook.contracts import T_ADS_CLEAN, T_ADS_DAILY, T_ORDERS_CLEAN, T_ORDERS_DAILY
-from daybook.operators import check_ads, interval_samples, rejected
+from daybook.contracts import T_ADS_CLEAN, T_ADS_DAILY, T_MODEL, T_ORDERS_CLEAN, T_ORDERS_DAILY
+from daybook.operators import DQReport, check_ads, enforce_threshold, interval_samples, rejected
 from daybook.plans import ingest_ads, ingest_orders, load_model, period_kpis, run, run_summary
+from daybook.plans.daily_run import STAGED
 from daybook.sources import TableStore
+from daybook.sources.tables import Version
 
 # The five-day example.
 # (id, day and time in UTC, status, gross, discount, taxes, shipping); net = gross - discount
@@ -112,9 +115,16 @@ def test_a_catalog_works_like_a_folder(spark, exports):
     spark.sql("CREATE DATABASE IF NOT EXISTS daybook_run")
     try:
         store = TableStore(spark, database="daybook_run")
-        run(spark, *exports, store)
-        run(spark, *exports, store)
+        for _ in range(3):
+            run(spark, *exports, store)
         assert spark.table("daybook_run.daily_financial_model").count() == 5
+        assert store.read(T_MODEL).count() == store.snapshot().read(T_MODEL).count() == 5
+        names = [r.tableName for r in spark.sql("SHOW TABLES IN daybook_run").collect()]
+        assert sum(n.startswith(f"{T_MODEL}__") for n in names) == store.keep
+        store.write(store.read(T_MODEL).limit(2), T_MODEL)
+        assert spark.table("daybook_run.daily_financial_model").count() == 2
+        store.drop(T_MODEL)
+        assert not store.exists(T_MODEL)
     finally:
         spark.sql("DROP DATABASE daybook_run CASCADE")
 
@@ -211,6 +221,63 @@ def test_only_ingestion_counts_for_the_threshold(spark, exports, tmp_path, store
         run(spark, *messy, store, Params(dq_rejection_threshold="0.4"))
 
 
+@pytest.mark.parametrize(("fails_at", "error"), [(0, RuntimeError), (4, KeyboardInterrupt), (7, RuntimeError)])
+def test_a_run_that_breaks_off_leaves_the_model_before_it(spark, exports, tmp_path, store, monkeypatch, fails_at, error):
+    run(spark, *exports, store)
+    before = {name: store.read(name).collect() for name in (T_ORDERS_CLEAN, T_ADS_DAILY, T_MODEL)}
+    files = sorted(p for p in (tmp_path / "store").rglob("*") if p.is_file())
+    inner, calls = Version.write, []
+
+    def write(self, df, name):
+        stored = inner(self, df, name)  # the table is there, the run is not complete
+        calls.append(name)
+        if len(calls) > fails_at:
+            raise error(name)
+        return stored
+
+    monkeypatch.setattr(Version, "write", write)
+    fewer = save(tmp_path, [ORDER_HEADER, "S9,2026-09-09,paid,1,0,1,0,0,ETB"], [AD_HEADER])
+    with pytest.raises(error):
+        run(spark, *fewer, store)
+    assert len(calls) == fails_at + 1
+    assert before == {name: store.read(name).collect() for name in before}
+    assert sorted(p for p in (tmp_path / "store").rglob("*") if p.is_file()) == files
+    monkeypatch.undo()
+    assert [r.calendar_date.day for r in run(spark, *fewer, store).model.collect()] == [9]
+
+
+def test_a_killed_run_is_cleared_away_later(spark, exports, tmp_path):
+    store = TableStore(spark, root=str(tmp_path / "store"), orphan_days=0)
+    store.begin().write(spark.range(3), T_MODEL)  # never published
+    assert not store.exists(T_MODEL)
+    time.sleep(1.1)
+    for _ in range(4):
+        run(spark, *exports, store)
+    assert len(list((tmp_path / "store" / "versions").iterdir())) == store.keep
+    assert len(list((tmp_path / "store" / "published").glob("0*"))) == store.keep
+
+
+def test_a_reader_keeps_its_version(spark, exports, tmp_path, store):
+    run(spark, *exports, store)
+    seen = store.snapshot()
+    run(spark, *save(tmp_path, [ORDER_HEADER], [AD_HEADER]), store)
+    assert load_model(seen).count() == 5 and load_model(store).count() == 0
+
+
+def test_staged_rows_can_be_discarded(spark, exports, tmp_path, store):
+    result = run(spark, *exports, store)
+    assert rejected(result.checked_orders).count() == 2
+    result.discard_staged()
+    assert not any(store.exists(name) for name in STAGED) and store.exists(T_MODEL)
+
+
+def test_the_limit_itself_is_allowed():
+    for rejected_rows, rows, threshold in ((29, 100, 0.29), (58, 200, 0.29), (0, 0, 0.0)):
+        enforce_threshold(DQReport("orders", rows, {"empty_row": rejected_rows}), threshold)
+    with pytest.raises(DataQualityError, match="30 of 100"):
+        enforce_threshold(DQReport("orders", 100, {"empty_row": 30}), 0.29)
+
+
 def test_unusable_input(spark, exports, tmp_path, store):
     with pytest.raises(SchemaError):
         run(spark, str(tmp_path / "absent.csv"), exports[1], store)

@@ -19,8 +19,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.llm.blocks import whole_groups
-from daybook.llm.common import WordTable, packed_words, ragged, record, slices, span_hashes, texts
+from daybook.llm.common import WordTable, packed_words, ragged, record, sliding_least, slices, span_hashes, texts
 from daybook.session import settle
 
 
@@ -35,23 +34,11 @@ class Settings:
     flush_bytes: int = 24_000_000
 
 
-def _sliding_least(x: np.ndarray, width: int) -> np.ndarray:
-    """The least of every ``width`` consecutive values, by doubling."""
-    n = len(x) - width + 1
-    if n <= 0:
-        return x[:0]
-    reach = 1
-    while reach * 2 <= width:
-        x = np.minimum(x[:-reach], x[reach:])
-        reach *= 2
-    return np.minimum(x[:n], x[width - reach : width - reach + n])
-
-
 def super_kmers(table: WordTable, settings: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """First word, number of windows and minimiser of every run of windows that travels together."""
     k = settings.window
     groups = packed_words(table.hashes(), settings.group)
-    least = _sliding_least(groups, k - settings.group + 1)
+    least = sliding_least(groups, k - settings.group + 1)
     at = np.flatnonzero(table.owner[: len(least)] == table.owner[k - 1 :]) if len(least) else np.zeros(0, np.int64)
     if not len(at):
         return at, at, least[at]
@@ -112,11 +99,7 @@ class _Sender:
         first = np.flatnonzero(new)
         counts = np.diff(np.append(first, len(new))).astype("<u4")
         edges = np.flatnonzero(np.diff(bucket[first], prepend=-1, append=-1))
-        lengths = end[first] - begin[first] + 1  # with the space that follows
-        text = data[ragged(begin[first], lengths)]
-        stops = np.cumsum(lengths)
-        text[stops - 1] = 10
-        stops = np.concatenate(([0], stops))
+        strings = [raw[a:b] for a, b in zip(begin[first].tolist(), end[first].tolist(), strict=True)]
         row_of = np.append(first, len(new))
         numbers, blocks = [], []
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
@@ -127,13 +110,31 @@ class _Sender:
                 np.diff(refs["doc_id"], prepend=0),
                 refs["tag"],
                 refs["start"],
-                text[stops[lo] : stops[hi]],
             ]
+            packed = [np.ascontiguousarray(p).tobytes() for p in parts]
             numbers.append(int(bucket[first[lo]]))
-            blocks.append(self.zip.compress(b"".join(np.ascontiguousarray(p).tobytes() for p in parts)))
+            blocks.append(self.zip.compress(b"".join((*packed, b"\n".join(strings[lo:hi])))))
         return record(_SENT, numbers, blocks)
 
 
+def _buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[list[bytes]]:
+    """The blocks of every bucket, from batches sorted by bucket."""
+    held: list[bytes] = []
+    last = None
+    for batch in batches:
+        number = batch.column("bucket").to_numpy()
+        blocks = batch.column("block").to_pylist()
+        edges = np.flatnonzero(np.diff(number, prepend=number[:1] - 1)).tolist() if len(number) else []
+        for lo, hi in zip(edges, [*edges[1:], len(number)], strict=True):
+            if held and number[lo] != last:
+                yield held
+                held = []
+            last = number[lo]
+            held += blocks[lo:hi]
+    if held:
+        yield held
+
+
 def _unpack(blocks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Strings, the number of places of each, and the places."""
     strings, counts, rows = [], [], []
@@ -149,7 +150,7 @@ def _unpack(blocks: list[bytes]) -> tuple[list[bytes], np.ndarray, np.ndarray]:
         part["tag"] = np.frombuffer(raw, "<i8", m, at + 8 * m)
         part["start"] = np.frombuffer(raw, "<u4", m, at + 16 * m)
         rows.append(part)
-        strings += raw[at + 20 * m : -1].split(b"\n")
+        strings += raw[at + 20 * m :].split(b"\n")
     return strings, np.concatenate(counts), np.concatenate(rows)
 
 
@@ -227,7 +228,7 @@ def _spans(tagged: DataFrame, total: int, settings: Settings) -> DataFrame:
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sender = _Sender(settings, buckets)
-        for part in slices(batches, limit=2_000_000):
+        for part in slices(batches, limit=500_000):
             doc_id, tag = (part.column(c).to_numpy() for c in ("doc_id", "tag"))
             yield from sender.add(WordTable(texts(part)), doc_id, tag)
         yield sender.flush()
@@ -235,11 +236,9 @@ def _spans(tagged: DataFrame, total: int, settings: Settings) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("tag", pa.int64()), ("begin", pa.int32()), ("end", pa.int32())])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in whole_groups(batches, ["bucket"], least=1):
-            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
-                blocks = table.column("block").slice(lo, hi - lo).to_pylist()
-                found, begin, end = _earlier_windows(blocks, k)
-                yield record(schema, found["doc_id"].copy(), found["tag"].copy(), begin, end)
+        for blocks in _buckets(batches):
+            found, begin, end = _earlier_windows(blocks, k)
+            yield record(schema, found["doc_id"].copy(), found["tag"].copy(), begin, end)
 
     sent = tagged.where("doc_id is not null and text is not null").mapInArrow(send, "bucket long, block binary")
     found = sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(
@@ -275,16 +274,11 @@ def remove_repeats(docs: DataFrame, settings: Settings = Settings()) -> DataFram
             change = np.zeros(len(table) + 1, dtype=np.int64)
             np.add.at(change, base + inner.field("begin").to_numpy(), 1)
             np.add.at(change, base + inner.field("end").to_numpy(), -1)
-            keep = np.flatnonzero(np.cumsum(change[:-1]) == 0)
-            data = table.data[ragged(table.start[keep], table.length[keep] + 1)].tobytes()
-            ends = np.concatenate(([0], np.cumsum(table.length[keep] + 1)))
-            upto = np.searchsorted(keep, table.first)
-            kept = [
-                data[ends[lo] : max(ends[hi] - 1, ends[lo])].decode("utf-8", "surrogatepass")
-                for lo, hi in zip(upto[:-1], upto[1:], strict=True)
-            ]
+            keep = np.cumsum(change[:-1]) == 0
+            kept = table.kept_texts(keep)
             n_words = np.diff(table.first)
-            yield record(_LEFT, part.column("doc_id"), n_words, n_words - np.diff(upto), kept)
+            upto = np.append(0, np.cumsum(~keep))[table.first]
+            yield record(_LEFT, part.column("doc_id"), n_words, np.diff(upto), kept)
 
     return tagged.join(spans.hint("merge"), ["doc_id", "tag"], "left").mapInArrow(
         cut, "doc_id long, n_words long, n_removed long, text string"

@@ -30,9 +30,10 @@ ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
 
 # The short paths take amounts that cannot overflow; longer ones go the general way.
 PLAIN_AMOUNT = r"^-?[0-9]{1,300}(?:\.[0-9]+)?\z"
+_USUAL = r"(?:[0-9]{1,3}(?:[, ][0-9]{3}){0,60}|[0-9]{1,300})(?:\.[0-9]+)?"
+# The second group is an amount in parentheses; its opening one becomes the sign.
 USUAL_AMOUNT = (
-    rf"^ *(?:[A-Z]{{3}} |[{CURRENCY_SYMBOLS}])?"
-    r"(-?(?:[0-9]{1,3}(?:,[0-9]{3}){0,60}|[0-9]{1,300})(?:\.[0-9]+)?)(?: [A-Z]{3})? *\z"
+    rf"^(?:[ \t]*(?:[A-Z]{{3}} |[{CURRENCY_SYMBOLS}])?(-?{_USUAL})(?: [A-Z]{{3}})?[ \t]*|(\({_USUAL})\))\z"
 )
 PLAIN_INTEGER = r"^[+-]?[0-9]+\z"
 _NUMBER = r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
@@ -59,7 +60,7 @@ def parse_money(text: Column) -> Column:
     body = F.regexp_replace(body, THOUSANDS_MARK, "")
     # "No match" extracts as empty text, which casts to null.
     amount = F.regexp_extract(body, AMOUNT_IN_PARENTHESES_OR_NOT, 1).try_cast("double")
-    usual = F.translate(F.regexp_extract(text, USUAL_AMOUNT, 1), ",", "")
+    usual = F.translate(F.regexp_replace(text, USUAL_AMOUNT, "$1$2"), "(, ", "-")
     return (
         F.when(text.rlike(PLAIN_AMOUNT), text.try_cast("double"))
         .when(text.rlike(USUAL_AMOUNT), usual.try_cast("double"))
@@ -68,8 +69,8 @@ def parse_money(text: Column) -> Column:
 
 
 def _finite(value: Column) -> Column:
-    """The value, or null where it overflowed; the one-element array is its only use."""
-    return F.get(F.filter(F.array(value), lambda v: F.abs(v) < float("inf")), F.lit(0))
+    """The value, or null where it overflowed. By way of its text, so that it is used once."""
+    return F.regexp_extract(value.cast("string"), "^[^I]+$", 0).try_cast("double")
 
 
 def parse_counter(text: Column) -> Column:

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from daybook.functions.measures import exact_sum
+from daybook.functions.measures import add_parts, parts_total, sum_parts
 
 _ORDER_SUMS = {
     "gross_revenue": "gross_amount",
@@ -26,28 +26,35 @@ _ORDER_SUMS = {
 def orders_daily(orders: DataFrame, *, unique_orders: bool = False) -> DataFrame:
     """Revenue columns, order count and average discount per business date.
 
-    ``orders`` counts distinct order ids. Counting those exactly has to shuffle
-    every (date, id) pair. A frame known to hold each id once, as ingestion with
-    deduplication leaves it, can say so with ``unique_orders``.
+    ``orders`` counts distinct order ids. The rows are read once, for two grouping sets:
+    the sums per currency, and the ids of a day, which have to be shuffled to be counted exactly.
+    A frame known to hold each id once, as ingestion with deduplication leaves it, can
+    say so with ``unique_orders`` and spares that shuffle.
     """
-    per_currency = orders.groupBy("calendar_date", "reporting_currency").agg(
-        *(exact_sum(F.col(src)).alias(name) for name, src in _ORDER_SUMS.items()),
-        F.count("order_id").alias("orders"),
-    )
+    sums = [part for name, src in _ORDER_SUMS.items() for part in sum_parts(F.col(src), name)]
+    if unique_orders:
+        per_currency = orders.groupBy("calendar_date", "reporting_currency").agg(
+            *sums, F.count("order_id").alias("orders")
+        )
+    else:
+        sets = [["calendar_date", "reporting_currency"], ["calendar_date", "order_id"]]
+        # "reporting_currency" is null in the rows of an id, so these meet in one group a day.
+        by_currency = F.col("__without_id") == 1
+        per_currency = (
+            orders.groupingSets(sets, "calendar_date", "reporting_currency", "order_id")
+            .agg(*sums, F.grouping("order_id").alias("__without_id"))
+            .groupBy("calendar_date", "reporting_currency")
+            .agg(
+                *(part for name in _ORDER_SUMS for part in add_parts(name, by_currency)),
+                F.count(F.when(~by_currency, F.col("order_id"))).alias("orders"),
+            )
+        )
     daily = per_currency.groupBy("calendar_date").agg(
-        *(F.sum(name).alias(name) for name in _ORDER_SUMS),
+        *(part for name in _ORDER_SUMS for part in add_parts(name)),
         F.sum("orders").alias("orders"),
         F.max("reporting_currency").alias("reporting_currency"),
     )
-    if not unique_orders:
-        distinct = orders.groupBy(F.col("calendar_date").alias("__day")).agg(
-            F.count_distinct("order_id").alias("__orders")
-        )
-        daily = (
-            daily.join(distinct, F.col("calendar_date").eqNullSafe(F.col("__day")))
-            .withColumn("orders", F.col("__orders"))
-            .drop("__day", "__orders")
-        )
+    daily = daily.withColumns({name: parts_total(name) for name in _ORDER_SUMS})
     average = F.when(F.col("orders") > 0, F.col("discount_amount") / F.col("orders"))
     return daily.select(
         "calendar_date",
@@ -61,15 +68,23 @@ def orders_daily(orders: DataFrame, *, unique_orders: bool = False) -> DataFrame
 def ads_daily(ads: DataFrame) -> DataFrame:
     """Spend, impressions, clicks and row count per date; unknown counts stay null."""
     per_currency = ads.groupBy("calendar_date", "reporting_currency").agg(
-        exact_sum(F.col("spend_amount")).alias("ad_spend"),
+        *sum_parts(F.col("spend_amount"), "ad_spend"),
         F.sum("impressions").alias("impressions"),
         F.sum("link_clicks").alias("link_clicks"),
         F.count(F.lit(1)).alias("meta_row_count"),
     )
-    return per_currency.groupBy("calendar_date").agg(
-        F.sum("ad_spend").alias("ad_spend"),
+    daily = per_currency.groupBy("calendar_date").agg(
+        *add_parts("ad_spend"),
         F.sum("impressions").alias("impressions"),
         F.sum("link_clicks").alias("link_clicks"),
         F.sum("meta_row_count").alias("meta_row_count"),
         F.max("reporting_currency").alias("reporting_currency"),
     )
+    return daily.select(
+        "calendar_date",
+        parts_total("ad_spend").alias("ad_spend"),
+        "impressions",
+        "link_clicks",
+        "meta_row_count",
+        "reporting_currency",
+    )

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from decimal import Decimal
 from functools import reduce
 from operator import and_, or_
 
@@ -27,6 +28,10 @@ from daybook.contracts import (
 from daybook.errors import DataQualityError
 from daybook.functions.text import is_blank
 
+#: A position in one number: rows of a block are numbered below ``_ROWS``.
+_SPOT = "decimal(38,0)"
+_ROWS = 2**63
+
 _HELPERS = (*POSITION, MALFORMED, REASON)
 
 
@@ -104,17 +109,37 @@ def repeated_keys(
     share a hash drop out again. Positions are reduced to one minimum per key and
     task before they are shuffled: a key that fills a third of the input costs
     each task one row. With no repeats the second pass is dropped at run time.
+
+    A minimum over text would sort every suspect row. So the file blocks, of which there
+    are as many as splits of the input, are numbered in order, and a position is the number
+    of its block and the row in one decimal, which a hash aggregate holds. The result
+    shows positions as they were.
     """
-    eligible = accepted(df).select(key, *position, F.xxhash64(key).alias("__hash"))
+    *block, row = position
+    opened = accepted(df)
+    eligible = opened.select(key, *position, F.xxhash64(key).alias("__hash"))
     suspects = (
         eligible.groupBy("__hash").agg(F.count(F.lit(1)).alias("__n")).where("__n > 1")
     ).select("__hash")
-    return (
+    in_order = F.array_sort(F.collect_set(F.struct(*block)))
+    blocks = opened.select(*block).distinct().agg(in_order.alias("at")).select(
+        F.posexplode("at").alias("__block_no", "at")
+    ).select("__block_no", "at.*")
+    spot = F.col("__block_no").cast("decimal(10,0)") * F.lit(Decimal(_ROWS)) + F.col(row)
+    firsts = (
         eligible.join(suspects, "__hash", "left_semi")
+        .join(blocks, reduce(and_, (eligible[c].eqNullSafe(blocks[c]) for c in block)))
         .groupBy(key)
-        .agg(F.min(F.struct(*position)).alias("__first"), F.count(F.lit(1)).alias("__copies"))
+        .agg(F.min(spot.cast(_SPOT)).alias("__spot"), F.count(F.lit(1)).alias("__copies"))
         .where(F.col("__copies") > 1)
+        .withColumns(
+            {
+                "__block_no": F.expr(f"cast(__spot div {_ROWS} as int)"),
+                row: F.expr(f"cast(__spot % {_ROWS} as bigint)"),
+            }
+        )
     )
+    return firsts.join(blocks, "__block_no").select(key, F.struct(*position).alias("__first"), "__copies")
 
 
 def flag_repeats(

@@ -1,14 +1,16 @@
 from __future__ import annotations
 
+import random
 from datetime import date, datetime
 from decimal import Decimal
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
-from daybook.functions.measures import round_tenths
 from daybook import CurrencyError, Params
 from daybook import functions as fn
+from daybook.functions.measures import round_tenths
 from tests.conftest import evaluate
 
 MONEY = [
@@ -71,6 +73,12 @@ MONEY = [
     ("1.5.2", None),
     ("٣", None),
     ("\ue0005", None),
+    (" 1 234,567.5\t", 1234567.5),
+    ("(1 234.50)", -1234.5),
+    (" (5) ", None),
+    ("(-5)", 5.0),
+    ("1 2345", None),
+    ("1 234 56", None),
     (None, None),
 ]
 
@@ -293,6 +301,22 @@ def test_exact_sum_ignores_order(spark):
         assert rows.agg(fn.exact_sum(F.col("v")).alias("s")).head().s == 1.20000001
 
 
+def test_exact_sum_has_the_same_bits_for_any_partitioning(spark):
+    rng = random.Random(4)
+    values = [rng.choice((1e20, 1e-12, 130.7, -3e17, 2.0**70, 1e-9)) * rng.uniform(-1, 1) for _ in range(3000)]
+    values += [1e20, 1e-12, -1e20, 17.35 * 130, 1e25, None]
+    found = set()
+    for parts in (1, 2, 7, 40):
+        rng.shuffle(values)
+        rows = spark.createDataFrame([(v,) for v in values], "v double").repartition(parts)
+        found.add(rows.agg(fn.exact_sum(F.col("v"))).head()[0])
+    assert len(found) == 1
+    assert found.pop() == pytest.approx(float(sum(Fraction(v) for v in values if v is not None)), rel=1e-15)
+    assert rows.where("abs(v) < 1e-8").agg(fn.exact_sum(F.col("v"))).head()[0] == pytest.approx(
+        float(sum(Fraction(v) for v in values if v is not None and abs(v) < 1e-8)), rel=1e-15
+    )
+
+
 def test_exact_sum_of_nothing_and_of_giants(spark):
     def total(values):
         rows = spark.createDataFrame([(v,) for v in values], "v double")

@@ -179,10 +179,24 @@ def test_threshold_is_strict(spark):
     assert (empty.rejection_rate, empty.exceeds) == (0.0, False)
 
 
+def test_first_of_many_blocks_and_rows(spark):
+    rows = [(f"k{n % 5}", f"f{n % 3}", n % 4, n * 7919 % 1000 + 2**62) for n in range(120)]
+    rows += [("lone", "f0", 0, 5), ("hot", "f2", 9, 2**63 - 1), ("hot", "f10", 0, 7)]
+    frame = spark.createDataFrame(rows, "order_id string, __file string, __block long, __row long")
+    got = repeated_keys(frame.withColumn(REASON, F.lit(None).cast("string"))).collect()
+    want = {}
+    for key, *at in rows:
+        want.setdefault(key, []).append(tuple(at))
+    assert {r.order_id: (tuple(r["__first"]), r["__copies"]) for r in got} == {
+        k: (min(v), len(v)) for k, v in want.items() if len(v) > 1
+    }
+
+
 def test_counting_repeats_uses_hash_aggregation_and_no_window(spark, tmp_path):
     flag_orders(order_rows(spark, {})).write.parquet(str(tmp_path / "staged"))
     staged = spark.read.parquet(str(tmp_path / "staged"))
     plan = plan_of(repeated_keys(staged).select("order_id"))
     assert "Window" not in plan and "BroadcastNestedLoop" not in plan and "Cartesian" not in plan
+    assert "SortAggregate" not in plan
     plan = plan_of(flag_repeats(staged, repeated_keys(staged)))
     assert "BroadcastNestedLoop" not in plan and "Cartesian" not in plan

@@ -102,7 +102,7 @@ def ingest_orders(
     path: str,
     store: TableStore | Version,
     *,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> Ingested:
     """Read, map, check required values and mark repeated orders.
 
@@ -126,7 +126,7 @@ def ingest_ads(
     path: str,
     store: TableStore | Version,
     *,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> Ingested:
     """Read, map and check required values."""
     raw, header = read_export(spark, path, AD_FIELDS, multi_line=multi_line)
@@ -142,7 +142,7 @@ def run(
     store: TableStore,
     params: Params | None = None,
     *,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> RunResult:
     """Rebuild the model from two exports.
 
@@ -166,7 +166,7 @@ def _rebuild(
     ads_path: str,
     store: TableStore,
     params: Params,
-    multi_line: bool,
+    multi_line: bool | None,
 ) -> RunResult:
     with store.begin() as version:  # any error removes what was written and changes nothing
         orders = ingest_orders(spark, orders_path, version, multi_line=multi_line)

@@ -7,6 +7,7 @@ splits large files and reads the pieces on all executors.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -24,7 +25,8 @@ from daybook.sources.headers import HeaderMatch, match_header
 UNNAMED = "Unnamed: "
 
 _SURPLUS_CELLS = "CSV row has more cells than the header: "
-_TORN_CELL = "CSV cell spans lines; read with multi_line: "
+_TORN_CELL = "CSV cell spans lines: "
+_OPEN_END = "line breaks in cells, but a quoted cell never ends"
 # Whole cells, then one that opens with a quote and lasts to the end of the line.
 _OPEN_CELL = (
     r'^(?:(?:"(?:[^"]++|"")*+"[^,]*+|[^",][^,]*+|),)*+"(?:[^"]++|"")*+$'
@@ -37,24 +39,44 @@ def read_export(
     path: str,
     wanted: Sequence[InputField],
     *,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> tuple[DataFrame, HeaderMatch]:
     """Read an export as text columns under canonical names.
 
     The result also carries the position of each row (``POSITION``), which
     gives "the first occurrence" a meaning on many executors.
 
-    ``multi_line`` allows line breaks inside quoted cells. Spark cannot split
-    such files, so it is off by default; a quoted line break met without it
-    fails the read rather than yielding two broken rows. A row with more cells
-    than the header fails the read as well; a shorter one is padded with nulls.
-    These failures show when the rows are read: see ``parse_failures``.
+    Quoted cells may hold line breaks. Spark cannot split files with such cells, so a pass over
+    the lines looks for them first, and only files that have any are read whole; the others
+    are split as usual. ``multi_line`` says what is known without that pass: True reads every
+    file whole, False refuses line breaks in cells. A row with more cells than the header fails
+    the read; a shorter one is padded with nulls. These failures show when the rows are read: see
+    ``parse_failures``.
     """
     header = _header_row(spark, path)
     match = match_header(header, wanted)  # header problems are fatal before any scan
-    if not multi_line:
-        _refuse_torn_cells(spark, path)
+    torn = _torn_files(spark, path) if not multi_line else []
+    if torn and multi_line is False:
+        raise SchemaError(f"{path} is not a usable CSV export: {_TORN_CELL}{torn[0]}")
+
+    if multi_line:
+        rows = _rows(spark, path, header, match, whole=True)
+    elif torn:
+        plain = [p for p in _files(spark, path) if p not in set(torn)]
+        rows = _rows(spark, list(map(_no_glob, torn)), header, match, whole=True)
+        if plain:
+            split = _rows(spark, list(map(_no_glob, plain)), header, match, whole=False)
+            rows = split.unionByName(rows)
+    else:
+        rows = _rows(spark, path, header, match, whole=False)
+    absent = {name: F.lit(None).cast("string") for name in match.absent}
+    return rows.withColumns(absent), match
+
 
+def _rows(
+    spark: SparkSession, paths: str | list[str], header: list[str], match: HeaderMatch, whole: bool
+) -> DataFrame:
+    """Rows of files with one header, with their positions."""
     schema = T.StructType([T.StructField(name, T.StringType()) for name in (*header, MALFORMED)])
     scan = (
         spark.read.schema(schema)
@@ -66,9 +88,9 @@ def read_export(
             escape='"',
             mode="PERMISSIVE",
             columnNameOfCorruptRecord=MALFORMED,
-            multiLine=multi_line,
+            multiLine=whole,
         )
-        .csv(path)
+        .csv(paths)
         .select(
             "*",
             F.col("_metadata.file_path").alias(POSITION[0]),
@@ -77,11 +99,9 @@ def read_export(
         )
     )
     rows = scan.toDF(*match.columns, MALFORMED, *POSITION)
-    if multi_line:  # here, unlike line by line, white-space-only lines arrive as rows
+    if whole:  # here, unlike line by line, white-space-only lines arrive as rows
         rows = rows.where(F.col(MALFORMED).isNull() | ~is_blank(F.col(MALFORMED)))
-    verdict = _refuse_malformed(F.col(MALFORMED), len(header), multi_line)
-    absent = {name: F.lit(None).cast("string") for name in match.absent}
-    return rows.withColumns({MALFORMED: verdict, **absent}), match
+    return rows.withColumn(MALFORMED, _refuse_malformed(F.col(MALFORMED), len(header), whole))
 
 
 @contextmanager
@@ -112,16 +132,40 @@ def _header_row(spark: SparkSession, path: str) -> list[str]:
     return [cell if cell else f"{UNNAMED}{i}" for i, cell in enumerate(first[0])]
 
 
-def _refuse_torn_cells(spark: SparkSession, path: str) -> None:
-    """Fail if any line opens a quoted cell that it does not close.
+def _torn_files(spark: SparkSession, path: str) -> list[str]:
+    """Files in which some line opens a quoted cell that it does not close, by path.
 
     The parser sees such a line and the next as two rows, which may both have the right
-    number of cells, so every line is judged by its quoting. The pass reads lines only and
-    stops at the first torn one. A quote inside an unquoted cell is legal.
+    number of cells, so every line is judged by its quoting. A quote inside an unquoted cell is
+    legal. Only lines with a quote are looked at, and each task sends its files' names and counts.
+    Such a file is read as one text, where a cell that never ends would swallow all that
+    follows; with an odd number of quotes it cannot be told where cells end, so that is refused.
     """
-    torn = spark.read.text(path).where(F.col("value").rlike(_OPEN_CELL)).head(1)
-    if torn:
-        raise SchemaError(f"{path} is not a usable CSV export: {_TORN_CELL}{torn[0][0]}")
+    quotes = F.length("value") - F.length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    judged = (
+        spark.read.text(path)
+        .where(F.col("value").contains('"'))
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.max(F.col("value").rlike(_OPEN_CELL)).alias("torn"), F.sum(quotes).alias("quotes"))
+    )
+    torn = judged.where("torn").orderBy("file").collect()  # at most a row per file
+    for row in torn:
+        if row["quotes"] % 2:
+            raise SchemaError(f"{row['file']} is not a usable CSV export: {_OPEN_END}")
+    return [_plain_path(spark, row["file"]) for row in torn]
+
+
+def _files(spark: SparkSession, path: str) -> list[str]:
+    return sorted(_plain_path(spark, uri) for uri in spark.read.text(path).inputFiles())
+
+
+def _plain_path(spark: SparkSession, uri: str) -> str:
+    """The path that a URI with escapes stands for."""
+    return spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri)).toString()
+
+
+def _no_glob(path: str) -> str:
+    return re.sub(r"([{}\[\]*?\\])", r"\\\1", path)
 
 
 def _refuse_malformed(raw: Column, width: int, multi_line: bool) -> Column:

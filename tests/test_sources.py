@@ -121,12 +121,41 @@ def test_surplus_cells_fail_the_read(spark, tmp_path):
         read(spark, path)
 
 
-def test_quoted_line_breaks_need_the_option(spark, tmp_path):
+def test_quoted_line_breaks_are_read_or_refused(spark, tmp_path):
     path = write(tmp_path, 'a,b\n1,"two\nlines"\n2,x\n')
-    with pytest.raises(SchemaError, match="multi_line"):
-        read(spark, path)
-    rows, _ = read(spark, path, multi_line=True)
-    assert [tuple(r)[:2] for r in rows] == [("1", "two\nlines"), ("2", "x")]
+    with pytest.raises(SchemaError, match="spans lines"):
+        read(spark, path, multi_line=False)
+    for multi_line in (None, True):
+        rows, _ = read(spark, path, multi_line=multi_line)
+        assert [tuple(r)[:2] for r in rows] == [("1", "two\nlines"), ("2", "x")]
+
+
+def test_only_torn_files_are_read_whole(spark, tmp_path):
+    want = []
+    for k in range(12):
+        lines = [f"{k}-{i},{'x' * 30}" for i in range(300)]
+        want += [tuple(line.split(",")) for line in lines]
+        if k == 7:
+            lines[4:4] = ['7-torn,"first, ""line""', ' second\r\n', '"']
+            want.insert(7 * 300 + 4, ("7-torn", 'first, "line"\n second\r\n\n'))
+        write(tmp_path, "a,b\n" + "\n".join(lines) + "\n", f"in [1]/part {k:02} {{x}}*%41.csv")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "5000")
+    try:
+        rows, _ = read_export(spark, str(tmp_path / "in \\[1\\]"), TWO)
+        ordered = rows.orderBy(*POSITION).collect()
+        got = [tuple(r)[:2] for r in ordered]
+        assert len({(r[POSITION[0]], r[POSITION[1]]) for r in ordered}) > 20
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [g[0] for g in got] == [w[0] for w in want]
+    torn = dict(got)["7-torn"]
+    assert torn.replace("\r\n", "\n") == dict(want)["7-torn"].replace("\r\n", "\n")
+
+
+def test_a_cell_that_never_ends_is_refused(spark, tmp_path):
+    with pytest.raises(SchemaError, match="never ends"):
+        read(spark, write(tmp_path, 'a,b\n1,"open\n2,x\n3,y\n', "open.csv"))
 
 
 def test_unusable_files(spark, tmp_path):
@@ -140,8 +169,8 @@ def test_unusable_files(spark, tmp_path):
 
 def test_torn_cells_never_become_rows(spark, tmp_path):
     text = 'a,b\n1,"two\nlines, more"\n'
-    with pytest.raises(SchemaError, match="spans lines"):
-        read(spark, write(tmp_path, text, "torn.csv"))
+    rows, _ = read(spark, write(tmp_path, text, "torn.csv"))
+    assert [tuple(r)[:2] for r in rows] == [("1", "two\nlines, more")]
     rows, _ = read(spark, write(tmp_path, 'a,b\n1,5" pipe\n2,"x ""y"" z"\n', "quotes.csv"))
     assert len(rows) == 2
 

@@ -424,3 +424,84 @@ SELECT day AS calendar_date, kind AS campaign_name,
        CASE WHEN day(day) % 10 <> 3 THEN CAST(kind = 'click' AS BIGINT) END AS link_clicks,
        'ETB' AS reporting_currency
 FROM ad_facts"""
+
+# ------------------------------------------- files, stores and runs as a user meets them
+
+ORACLES["csv_orders_roundtrip"] = ORACLES["orders_clean"]
+ORACLES["csv_torn_cells"] = ORACLES["ads_clean"]
+
+
+def _shown(column: str, places: int) -> str:
+    held = f"CAST(CAST(round_even({column}, {places}) AS DECIMAL(38,{places})) AS VARCHAR)"
+    return rf"coalesce(regexp_replace({held}, '(\.[0-9]+?)0+$', '\1'), '')"
+
+
+_LINE = " || ',' || ".join(
+    [
+        "CAST(calendar_date AS VARCHAR)",
+        *(_shown(c, 2) for c in _MONEY[:5]),
+        "CAST(orders AS VARCHAR)",
+        _shown("ad_spend", 2),
+        "coalesce(CAST(impressions AS VARCHAR), '')",
+        "coalesce(CAST(link_clicks AS VARCHAR), '')",
+        *(_shown(c, 2) for c in _MONEY[6:]),
+        *(_shown(c, 4) for c in ("roas", "mer", "profit_margin")),
+        "coalesce(reporting_currency, '')",
+    ]
+)
+ORACLES["csv_export_text"] = f"""
+WITH {_model(TYPED)}
+SELECT 'Date,Gross Revenue,Discounts,Net Revenue,Taxes,Shipping Fees,Orders,Ad Spend,Impressions,'
+       || 'Link Clicks,COGS Estimate,Contribution Margin,ROAS,Meta Spend / Net Revenue,'
+       || 'Profit Margin,Currency' AS line
+UNION ALL
+SELECT {_LINE} FROM model"""
+
+ORACLES["table_overwrite"] = f"""
+WITH {TYPED}
+SELECT (SELECT count(*) FROM oc) AS n_orders, d AS calendar_date,
+       CAST(value AS DOUBLE) * CAST(130 AS DOUBLE) AS spend_amount
+FROM ac WHERE link_clicks = 1"""
+
+ORACLES["model_exists"] = f"""
+WITH {_model(TYPED)}
+SELECT false AS before, true AS after, count(*) AS n_days FROM model"""
+
+ORACLES["run_report"] = f"""
+WITH {TAGGED},
+counts AS (
+    SELECT 'orders' AS source, reason, count(*) AS n FROM tagged_orders GROUP BY reason
+    UNION ALL
+    SELECT 'ads', reason, count(*) FROM tagged_ads GROUP BY reason
+)
+SELECT source, reason AS rejection_reason, n,
+       CAST((SELECT sum(c.n) FROM counts c WHERE c.source = counts.source) AS BIGINT) AS rows_received,
+       (SELECT c.n FROM counts c WHERE c.source = counts.source AND c.reason IS NULL) AS rows_accepted
+FROM counts WHERE reason IS NOT NULL"""
+
+ORACLES["period_kpis_hours"] = ORACLES["period_kpis"].replace("CAST(4 AS DOUBLE)", "CAST(7.5 AS DOUBLE)")
+
+ORACLES["orders_clean_usd"] = f"""
+WITH {TAGGED}
+SELECT order_id, CAST(created_at_utc + INTERVAL 3 HOUR AS DATE) AS calendar_date, created_at_utc,
+       financial_status,
+       {", ".join(f"CAST({src} AS DOUBLE) * CAST(130 AS DOUBLE) AS {name}" for src, name in (
+           ("gross", "gross_amount"), ("discount", "discount_amount"), ("net", "net_amount"),
+           ("tax", "taxes"), ("0", "shipping_fees")))},
+       'ETB' AS reporting_currency
+FROM raw_oc"""
+
+ORACLES["orders_daily_shared_ids"] = f"""
+WITH {TYPED},
+shared AS (
+    SELECT CAST(order_id AS BIGINT) % 997 AS id, d, gross, discount, net, tax,
+           CASE WHEN CAST(order_id AS BIGINT) % 5 = 0 THEN 'USD' ELSE 'ETB' END AS currency
+    FROM oc
+)
+SELECT d AS calendar_date, CAST(sum(gross) AS DOUBLE) AS gross_revenue,
+       CAST(sum(discount) AS DOUBLE) AS discount_amount, CAST(sum(net) AS DOUBLE) AS net_revenue,
+       CAST(sum(tax) AS DOUBLE) AS taxes, CAST(0 AS DOUBLE) AS shipping_fees,
+       count(DISTINCT id) AS orders,
+       CAST(sum(discount) AS DOUBLE) / count(DISTINCT id) AS avg_discount_per_order,
+       max(currency) AS reporting_currency
+FROM shared GROUP BY d"""

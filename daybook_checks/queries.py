@@ -360,3 +360,102 @@ def table_roundtrip(spark, sf_dir):
     store = TableStore(spark, root=scratch_path(spark, "clean"))
     store.write(frames.clean_ads(spark, sf_dir, PARAMS), "ads_clean")
     return store.read("ads_clean")
+
+
+# ------------------------------------------- files, stores and runs as a user meets them
+
+
+@query
+def csv_orders_roundtrip(spark, sf_dir):
+    orders_csv, _ = _write_exports(spark, sf_dir)
+    rows, _ = read_export(spark, orders_csv, ORDER_FIELDS)
+    staged = settle(op.flag_orders(rows), "orders")
+    tagged = op.flag_repeats(staged, settle(op.repeated_keys(staged), "repeats"))
+    return op.orders_clean(op.check_orders(tagged, PARAMS), PARAMS)
+
+
+@query
+def csv_torn_cells(spark, sf_dir):
+    """Ads in a folder in which some files have line breaks in campaign names, as quoted cells."""
+    raw = frames.raw_ads(spark, sf_dir).drop(*POSITION)
+    torn = F.col("__e") % 10 == 0
+    keyed = raw.withColumn("__e", F.xxhash64(*raw.columns))
+    path = scratch_path(spark, "torn-csv")
+    for part, breaks in ((keyed.where(~torn), False), (keyed.where(torn), True)):
+        cells = part.drop("__e")
+        if breaks:
+            name = F.replace(F.col("campaign_name"), F.lit("\t"), F.lit("\n\t"))
+            cells = cells.withColumn("campaign_name", name)
+        cells.toDF(*AD_HEADERS).write.mode("append").options(
+            header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+        ).csv(path)
+    rows, _ = read_export(spark, path, AD_FIELDS)
+    return op.ads_clean(op.check_ads(op.flag_ads(rows)), PARAMS)
+
+
+@query
+def csv_export_text(spark, sf_dir):
+    path = scratch_path(spark, "report")
+    write_report(_model(spark, sf_dir), path)
+    return spark.read.text(path).select(F.col("value").alias("line"))
+
+
+@query
+def table_overwrite(spark, sf_dir):
+    """A table that is replaced by part of itself, as two other tables of its version stay."""
+    store = TableStore(spark, root=scratch_path(spark, "clean"))
+    with store.begin() as version:
+        version.write(frames.clean_ads(spark, sf_dir, PARAMS), "ads_clean")
+        version.write(frames.clean_orders(spark, sf_dir, PARAMS), "orders_clean")
+    ads = store.read("ads_clean")
+    store.write(ads.where("link_clicks = 1"), "ads_clean")
+    n_orders = F.lit(store.read("orders_clean").count()).alias("n_orders")
+    return store.read("ads_clean").select(n_orders, "calendar_date", "spend_amount")
+
+
+@query
+def model_exists(spark, sf_dir):
+    store = TableStore(spark, root=scratch_path(spark, "model"))
+    before = plans.model_exists(store)
+    store.write(_model(spark, sf_dir), T_MODEL)
+    there = F.lit(plans.model_exists(store))
+    return store.read(T_MODEL).agg(
+        F.lit(before).alias("before"), F.max(there).alias("after"), F.count("*").alias("n_days")
+    )
+
+
+@query
+def run_report(spark, sf_dir):
+    """What a whole run says about the rows of both exports, by source and reason."""
+    orders_csv, ads_csv = _write_exports(spark, sf_dir)
+    store = TableStore(spark, root=scratch_path(spark, "run"))
+    result = plans.run(spark, orders_csv, ads_csv, store, Params(dq_rejection_threshold=1))
+    rows = [
+        (r.source, reason, n, r.rows_received, r.rows_accepted)
+        for r in (result.orders_report, result.ads_report)
+        for reason, n in r.reasons.items()
+    ]
+    return spark.createDataFrame(
+        rows, "source string, rejection_reason string, n long, rows_received long, rows_accepted long"
+    )
+
+
+@query
+def period_kpis_hours(spark, sf_dir):
+    return plans.period_kpis(_model(spark, sf_dir), Params(admin_hours_per_week=Decimal("7.5")))
+
+
+@query
+def orders_clean_usd(spark, sf_dir):
+    return op.orders_clean(_checked_orders(spark, sf_dir), Params(orders_currency="USD"))
+
+
+@query
+def orders_daily_shared_ids(spark, sf_dir):
+    """Orders of which several share an id, also across days and currencies."""
+    orders = frames.clean_orders(spark, sf_dir, PARAMS)
+    k = F.col("order_id").cast("long")
+    currency = F.when(k % 5 == 0, "USD").otherwise("ETB")
+    return op.orders_daily(
+        orders.withColumns({"order_id": (k % 997).cast("string"), "reporting_currency": currency})
+    )

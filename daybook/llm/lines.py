@@ -22,6 +22,10 @@ from daybook.session import settle
 LEAST_WORDS = 5
 
 
+#: Columns that the result has besides those of the documents.
+ADDED = ("n_lines", "n_removed")
+
+
 def _pair(left: Column, right: Column) -> Column:
     """Name of two names in a row: two independent 64-bit hashes."""
     return F.struct(
@@ -31,18 +35,23 @@ def _pair(left: Column, right: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """doc_id, text and a tag that keeps documents with one doc_id apart; whether there are any."""
+    """Whole rows beside text, key (doc_id) and a tag that keeps documents with one doc_id apart.
+
+    Rows are one column, so none of theirs can clash. Also tells whether doc_ids repeat.
+    """
     count = docs.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
     repeated = count["d"] < count["n"]
     tag = F.xxhash64("text") if repeated else F.lit(0).cast("long")
-    return docs.withColumn("__key", F.col("doc_id").cast("long")).withColumn("__tag", tag), repeated
+    row = F.struct(*[docs[c] for c in docs.columns])
+    keyed = docs.select(row.alias("row"), docs["text"], docs["doc_id"].cast("long").alias("key"), tag.alias("tag"))
+    return keyed, repeated
 
 
 def line_table(keyed: DataFrame, repeated: bool) -> DataFrame:
     """Every line that has a word: key, tag, number, place among such lines, words, ID (x, y)."""
-    lines = keyed.where("text is not null and __key is not null").select(
-        F.col("__key").alias("key"),
-        F.col("__tag").alias("tag"),
+    lines = keyed.where("text is not null and key is not null").select(
+        "key",
+        "tag",
         F.posexplode(F.split("text", "\n", -1)).alias("number", "line"),
     )
     lines = lines.select(
@@ -114,6 +123,8 @@ def removed_lines(keyed: DataFrame, repeated: bool, least_words: int = LEAST_WOR
 def remove_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs``, all columns, with repeated lines taken out of ``text``; adds n_lines and n_removed.
 
+    Columns of these two names that ``docs`` has give way to the new ones.
+
     A line goes if it lies in a run of consecutive lines of its document that has at least
     ``least_words`` words and occurs before, in this or another document, at a smaller
     (doc_id, line number). Lines without a word are passed over in runs and always stay. The
@@ -123,22 +134,21 @@ def remove_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """
     keyed, repeated = _keyed(docs)
     gone = settle(removed_lines(keyed, repeated, least_words), "removed-lines")
-    gone = gone.withColumnsRenamed({"key": "__key", "tag": "__tag", "removed": "__removed"})
     # At any size the join sorts both sides: how many documents lose lines grows with the input.
-    joined = keyed.join(gone.hint("merge"), ["__key", "__tag"], "left")
+    joined = keyed.join(gone.hint("merge"), ["key", "tag"], "left")
     lines = F.split("text", "\n", -1)
 
     def left(all_lines: Column) -> Column:
         numbers = F.sequence(F.lit(0), F.size(all_lines) - 1)
-        kept = F.array_except(numbers, F.col("__removed"))
+        kept = F.array_except(numbers, F.col("removed"))
         return F.array_join(F.transform(kept, lambda k: F.get(all_lines, k)), "\n")
 
     # The one-element array names the lines, so that they are split once.
-    text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(F.transform(F.array(lines), left)[0])
+    text = F.when(F.col("removed").isNull(), F.col("text")).otherwise(F.transform(F.array(lines), left)[0])
     return joined.select(
-        *[docs[c] if c != "text" else text.alias("text") for c in docs.columns],
+        *[text.alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns if c not in ADDED],
         F.coalesce(F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1, F.lit(0))
         .cast("long")
         .alias("n_lines"),
-        F.coalesce(F.size("__removed"), F.lit(0)).cast("long").alias("n_removed"),
+        F.coalesce(F.size("removed"), F.lit(0)).cast("long").alias("n_removed"),
     )

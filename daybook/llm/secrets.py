@@ -3,8 +3,8 @@
 The rules' regular expressions become one nondeterministic automaton over bytes. Subset
 construction makes it deterministic, with the set of rules that end in each state, and
 partition refinement makes it minimal. Its transition array finds, in one pass over the
-bytes of a text, which rules occur at all. Only where a rule occurs is its own automaton
-run for the leftmost longest matches, each starting after the one before.
+bytes of a text, which rules occur at all. Only where a rule occurs is its own reversed automaton
+run for where matches begin, and its own forwards from there for the leftmost longest ones.
 """
 
 from __future__ import annotations
@@ -77,7 +77,8 @@ RULES = (
 class _Nfa:
     """A nondeterministic automaton: edges on sets of bytes, and edges that take nothing."""
 
-    def __init__(self):
+    def __init__(self, backwards: bool = False):
+        self.backwards = backwards
         self.on: list[list[tuple[frozenset[int], int]]] = []
         self.free: list[list[int]] = []
 
@@ -88,7 +89,7 @@ class _Nfa:
 
     def add(self, items, start: int) -> int:
         """Append parsed items after ``start``; the state after them."""
-        for op, value in items:
+        for op, value in reversed(items) if self.backwards else items:
             start = self._one(op, value, start)
         return start
 
@@ -162,13 +163,14 @@ class Dfa:
     dead: int
 
 
-def automaton(patterns: Sequence[str], anywhere: bool) -> Dfa:
+def automaton(patterns: Sequence[str], anywhere: bool, backwards: bool = False) -> Dfa:
     """Subset construction over all patterns, then minimisation.
 
     ``anywhere``: matches may begin at every byte; otherwise only at the start.
+    ``backwards``: for reading the bytes from the last to the first.
     Bit r of ``ends`` tells that pattern r ends in the state.
     """
-    nfa, first, rule_of = _Nfa(), [], {}
+    nfa, first, rule_of = _Nfa(backwards), [], {}
     for r, pattern in enumerate(patterns):
         begin = nfa.state()
         first.append(begin)
@@ -241,10 +243,7 @@ class Scanner:
             self.rows[new[s]] = [new[t] for t in whole.step[s * 256 : s * 256 + 256]]
         self.states = len(order)
         self.single = [automaton([r.pattern], anywhere=False) for r in self.rules]
-        self.begins = []
-        for dfa in self.single:
-            row = dfa.step[dfa.start * 256 : dfa.start * 256 + 256]
-            self.begins.append(bytes(t != dfa.dead for t in row))
+        self.reverse = [automaton([r.pattern], anywhere=True, backwards=True) for r in self.rules]
 
     def seen(self, data: bytes) -> int:
         """The rules that end anywhere in the bytes, as bits: the one pass over every text."""
@@ -257,28 +256,37 @@ class Scanner:
             row = rows[state]
         return found
 
+    def begins(self, rule: int, data: bytes) -> list[int]:
+        """Where a match of one rule begins, from the last to the first: a pass of its reversed automaton."""
+        step, ends, state = self.reverse[rule].step, self.reverse[rule].ends, self.reverse[rule].start
+        found, at = [], len(data)
+        for b in reversed(data):
+            at -= 1
+            state = step[state * 256 + b]
+            if ends[state]:
+                found.append(at)
+        return found
+
     def matches(self, rule: int, data: bytes) -> Iterator[tuple[int, int]]:
-        """Leftmost longest matches of one rule, each after the end of the one before."""
-        dfa, begins = self.single[rule], self.begins[rule]
-        step, ends, dead, n = dfa.step, dfa.ends, dfa.dead, len(data)
-        at = 0
-        while at < n:
-            if not begins[data[at]]:
-                at += 1
+        """Leftmost longest matches of one rule, each after the end of the one before.
+
+        Only from where a match begins is the rule's automaton run, so no byte is tried in vain
+        and the time is linear in the text.
+        """
+        dfa, n, upto = self.single[rule], len(data), 0
+        step, ends, dead = dfa.step, dfa.ends, dfa.dead
+        for at in reversed(self.begins(rule, data)):
+            if at < upto:
                 continue
-            state, end, k = dfa.start, -1, at
+            state, k = dfa.start, at
             while k < n:
                 state = step[state * 256 + data[k]]
                 if state == dead:
                     break
                 k += 1
                 if ends[state]:
-                    end = k
-            if end > at:
-                yield at, end
-                at = end
-            else:
-                at += 1
+                    upto = k
+            yield at, upto
 
     def spans(self, text: str) -> list[tuple[int, int, int]]:
         """(start, rule number, end) of every match that counts, in code points, in order."""

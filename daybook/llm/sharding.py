@@ -48,10 +48,35 @@ def hilbert_index(levels: np.ndarray, bits: int) -> np.ndarray:
     return index
 
 
-def text_rank(column: Column) -> Column:
-    """A number that keeps the order of texts by their first six bytes; null for null."""
-    head = F.hex(F.substring(F.encode(column, "UTF-8"), 1, 6))
-    return F.conv(F.rpad(head, 12, "0"), 16, 10).cast("double")
+def text_ranks(values: DataFrame, name: str) -> DataFrame:
+    """Every distinct text of a column with a number that keeps their order (``<name>_rank``)."""
+    distinct = values.select(name).where(F.col(name).isNotNull()).distinct()
+    ordered = distinct.repartitionByRange(name).sortWithinPartitions(name)
+    return settle(ordered.withColumn(f"{name}_rank", F.monotonically_increasing_id().cast("double")), "text-ranks")
+
+
+def _narrow(docs: DataFrame, dimensions: Sequence[Column], size: Column) -> tuple[DataFrame, list[str]]:
+    """doc_id, size, text_crc32, a hash of the text, and the dimensions as numbers that equal texts share."""
+    names = [f"d{k}" for k in range(len(dimensions))]
+    whole = F.coalesce(F.col("text"), F.lit("")).cast("binary")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        size.alias("size"),
+        F.crc32(whole).alias("text_crc32"),
+        F.xxhash64(whole).alias("same"),
+        *[d.alias(n) for n, d in zip(names, dimensions, strict=True)],
+    )
+    rows = settle(rows, "shard-rows")
+    for name in [n for n in names if rows.schema[n].dataType.typeName() == "string"]:
+        # Joined by the size of the dictionary; a value that fills a third of the rows is split at run time.
+        rows = rows.join(text_ranks(rows, name), name, "left").drop(name).withColumnRenamed(f"{name}_rank", name)
+    rows = rows.select("doc_id", "size", "text_crc32", "same", *[F.col(n).cast("double").alias(n) for n in names])
+    rows = settle(rows, "shard-numbers")
+    key = ["same", "size", "text_crc32"]
+    groups = rows.groupBy(*key).agg(F.count("*").alias("n"), *[F.min(n).alias(f"least_{n}") for n in names])
+    groups = settle(groups.where("n > 1").drop("n"), "equal-texts").withColumn("many", F.lit(True))
+    shared = [F.when(F.col("many"), F.col(f"least_{n}")).otherwise(F.col(n)).alias(n) for n in names]
+    return rows.join(groups, key, "left").select("doc_id", *key, *shared), names
 
 
 def shard(
@@ -64,22 +89,20 @@ def shard(
 
     Columns: doc_id, size (UTF-8 bytes of the text, null: none, plus 8), text_crc32, law
     ("rows": numbers of rows differ by one at most), shard, slot, grown_shard (always null,
-    as the cuts move when shards are added), hilbert. ``dimensions`` are numeric columns; by default
-    the id, the size, the language and the source. A null lies at the lowest level. Equal
-    texts with equal metadata lie next to each other; a group larger than a shard is cut.
+    as the cuts move when shards are added), hilbert. ``dimensions`` are columns of numbers or texts, which
+    count by their rank among all texts of the column; by default the id, the size, the language
+    and the source. A null lies at the lowest level.
+
+    Equal texts, null and empty ones among them, count as one point, the least of each dimension over
+    all of them, and ties go by text before id, so they are neighbours whatever their metadata;
+    only a group at one of the cuts lies in two shards, or one larger than a shard in more.
     Every row of repeated rows has a place of its own. An empty table gives no rows.
     """
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 8
     if dimensions is None:
-        dimensions = (F.col("doc_id"), size, text_rank(F.col("lang")), text_rank(F.col("source")))
-    names = [f"d{k}" for k in range(len(dimensions))]
-    narrow = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        size.alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        *[d.cast("double").alias(n) for n, d in zip(names, dimensions, strict=True)],
-    )
-    narrow = settle(narrow, "shard-rows")
+        dimensions = (F.col("doc_id"), size, F.col("lang"), F.col("source"))
+    narrow, names = _narrow(docs, dimensions, size)
+    narrow = settle(narrow, "shard-points")
     steps = [k / 2**bits for k in range(1, 2**bits)]
     found = narrow.agg(*[F.percentile_approx(n, steps, 10_000).alias(n) for n in names]).first()
     cuts = [np.unique(np.array(found[n] or [], dtype=np.float64)) for n in names]
@@ -93,8 +116,8 @@ def shard(
         return pd.Series(hilbert_index(np.array(levels), bits))
 
     # Ties go by text and id, so a hot point of the curve is still spread over tasks.
-    order = ["hilbert", "text_crc32", "size", "doc_id"]
-    along = narrow.select("doc_id", "size", "text_crc32", index(*names).alias("hilbert"))
+    order = ["hilbert", "same", "text_crc32", "size", "doc_id"]
+    along = narrow.select("doc_id", "size", "text_crc32", "same", index(*names).alias("hilbert"))
     spread = along.repartitionByRange(*order).sortWithinPartitions(*order)
     # A row's number within its partition is in the low 33 bits, the partition above them.
     place = settle(spread.withColumn("place", F.monotonically_increasing_id()), "shard-order")

@@ -303,6 +303,13 @@ def test_secrets_match_regular_expressions():
         assert find.spans(text) == sorted(want)
 
 
+def test_secrets_of_very_long_texts_take_linear_time():
+    find = secrets.scanner(secrets.RULES)
+    text = "eyJabcdefgh" * 90_000
+    assert find.spans(text) == []
+    assert find.spans(text + "." + "x" * 9 + "." + "y" * 9) == [(0, 6, len(text) + 20)]
+
+
 def test_lines_match_brute_force(spark):
     ship(spark)
     rng = random.Random(4)
@@ -342,6 +349,40 @@ def test_shards_are_even_and_gapless(docs):
     assert all(r.n == r.d == r.top + 1 for r in rows)
 
 
+def test_shards_match_brute_force(spark):
+    ship(spark)
+    rng = random.Random(6)
+    rows = [
+        (k, rng.choice(["same text", "other", None, "", f"own {k}", f"own {k}"]), rng.choice(["en", "de", None]),
+         "https://example.org/" + rng.choice("abcdef"), k)
+        for k in range(400)
+    ]
+    rows += rows[:5]
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, shard int"))
+    got = got.collect()
+    texts = {k: t for k, t, *_ in rows}
+    assert Counter(r.doc_id for r in got) == Counter(k for k, *_ in rows)
+    slots, places = defaultdict(list), defaultdict(list)
+    for r in got:
+        data = (texts[r.doc_id] or "").encode()
+        assert (r.size, r.text_crc32, r.law, r.grown_shard) == (len(data) + 8, zlib.crc32(data), "rows", None)
+        slots[r.shard].append(r.slot)
+        places[data].append((r.shard, r.slot))
+    assert set(slots) == set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert {len(s) for s in slots.values()} <= {405 // 24, 405 // 24 + 1}
+    before = {s: sum(len(slots[k]) for k in range(s)) for s in slots}
+    for held in places.values():  # equal texts are neighbours
+        at = sorted(before[s] + slot for s, slot in held)
+        assert at == list(range(at[0], at[0] + len(at)))
+
+
+def test_text_ranks_count_whole_values(spark):
+    values = ["common_crawl/a", "common_crawl/b", "common_crawl/", "é", "z", None, "z"]
+    frame = ship(spark).createDataFrame([(v,) for v in values], "source string")
+    ranks = {r.source: r.source_rank for r in sharding.text_ranks(frame, "source").collect()}
+    assert sorted(ranks, key=ranks.get) == ["common_crawl/", "common_crawl/a", "common_crawl/b", "z", "é"]
+
+
 def test_components(spark):
     rng = random.Random(2)
     ids = [rng.randrange(8) * 2**33 + rng.randrange(300) for _ in range(300)]

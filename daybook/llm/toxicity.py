@@ -78,7 +78,7 @@ class Model:
         get = self.weights.get
         score = sum(get(f, 0.0) for f in features_of(word, self.settings))
         if len(word) <= 40:
-            if len(self.words) > 200_000:
+            if len(self.words) > 400_000:
                 self.words.clear()
             self.words[word] = score
         return score

@@ -140,8 +140,13 @@ MONEY_DECIMALS = 2
 T_ORDERS_STAGED = "orders_staged"
 T_ADS_STAGED = "ads_staged"
 T_ORDER_REPEATS = "order_repeats"
+T_ORDERS_KNOWN = "orders_known"
 T_ORDERS_CLEAN = "orders_clean"
 T_ADS_CLEAN = "ads_clean"
 T_ORDERS_DAILY = "orders_daily"
 T_ADS_DAILY = "ads_daily"
 T_MODEL = "daily_financial_model"
+# Partial sums per day, and the parameters that made the rows, for runs that add exports.
+T_ORDERS_SUMS = "orders_sums"
+T_ADS_SUMS = "ads_sums"
+T_ROW_SETTINGS = "row_settings"

@@ -23,8 +23,8 @@ _ORDER_SUMS = {
 }
 
 
-def orders_daily(orders: DataFrame, *, unique_orders: bool = False) -> DataFrame:
-    """Revenue columns, order count and average discount per business date.
+def orders_sums(orders: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    """Partial sums of orders per business date and currency; they can be added up further.
 
     ``orders`` counts distinct order ids. The rows are read once, for two grouping sets:
     the sums per currency, and the ids of a day, which have to be shuffled to be counted exactly.
@@ -33,23 +33,33 @@ def orders_daily(orders: DataFrame, *, unique_orders: bool = False) -> DataFrame
     """
     sums = [part for name, src in _ORDER_SUMS.items() for part in sum_parts(F.col(src), name)]
     if unique_orders:
-        per_currency = orders.groupBy("calendar_date", "reporting_currency").agg(
+        return orders.groupBy("calendar_date", "reporting_currency").agg(
             *sums, F.count("order_id").alias("orders")
         )
-    else:
-        sets = [["calendar_date", "reporting_currency"], ["calendar_date", "order_id"]]
-        # "reporting_currency" is null in the rows of an id, so these meet in one group a day.
-        by_currency = F.col("__without_id") == 1
-        per_currency = (
-            orders.groupingSets(sets, "calendar_date", "reporting_currency", "order_id")
-            .agg(*sums, F.grouping("order_id").alias("__without_id"))
-            .groupBy("calendar_date", "reporting_currency")
-            .agg(
-                *(part for name in _ORDER_SUMS for part in add_parts(name, by_currency)),
-                F.count(F.when(~by_currency, F.col("order_id"))).alias("orders"),
-            )
+    sets = [["calendar_date", "reporting_currency"], ["calendar_date", "order_id"]]
+    # "reporting_currency" is null in the rows of an id, so these meet in one group a day.
+    by_currency = F.col("__without_id") == 1
+    return (
+        orders.groupingSets(sets, "calendar_date", "reporting_currency", "order_id")
+        .agg(*sums, F.grouping("order_id").alias("__without_id"))
+        .groupBy("calendar_date", "reporting_currency")
+        .agg(
+            *(part for name in _ORDER_SUMS for part in add_parts(name, by_currency)),
+            F.count(F.when(~by_currency, F.col("order_id"))).alias("orders"),
         )
-    daily = per_currency.groupBy("calendar_date").agg(
+    )
+
+
+def merged_order_sums(sums: DataFrame) -> DataFrame:
+    """The partial sums of several sets of orders, none of whose ids are in two of them, as one."""
+    return sums.groupBy("calendar_date", "reporting_currency").agg(
+        *(part for name in _ORDER_SUMS for part in add_parts(name)), F.sum("orders").alias("orders")
+    )
+
+
+def orders_from_sums(sums: DataFrame) -> DataFrame:
+    """Daily revenue columns from the partial sums of one or more sets of orders."""
+    daily = sums.groupBy("calendar_date").agg(
         *(part for name in _ORDER_SUMS for part in add_parts(name)),
         F.sum("orders").alias("orders"),
         F.max("reporting_currency").alias("reporting_currency"),
@@ -65,15 +75,32 @@ def orders_daily(orders: DataFrame, *, unique_orders: bool = False) -> DataFrame
     )
 
 
-def ads_daily(ads: DataFrame) -> DataFrame:
-    """Spend, impressions, clicks and row count per date; unknown counts stay null."""
-    per_currency = ads.groupBy("calendar_date", "reporting_currency").agg(
+def orders_daily(orders: DataFrame, *, unique_orders: bool = False) -> DataFrame:
+    """Revenue columns, order count and average discount per business date."""
+    return orders_from_sums(orders_sums(orders, unique_orders=unique_orders))
+
+
+def ads_sums(ads: DataFrame) -> DataFrame:
+    """Partial sums of ad rows per date and currency; they can be added up further."""
+    return ads.groupBy("calendar_date", "reporting_currency").agg(
         *sum_parts(F.col("spend_amount"), "ad_spend"),
         F.sum("impressions").alias("impressions"),
         F.sum("link_clicks").alias("link_clicks"),
         F.count(F.lit(1)).alias("meta_row_count"),
     )
-    daily = per_currency.groupBy("calendar_date").agg(
+
+
+def merged_ad_sums(sums: DataFrame) -> DataFrame:
+    """The partial sums of several sets of ad rows as one."""
+    return sums.groupBy("calendar_date", "reporting_currency").agg(
+        *add_parts("ad_spend"),
+        *(F.sum(c).alias(c) for c in ("impressions", "link_clicks", "meta_row_count")),
+    )
+
+
+def ads_from_sums(sums: DataFrame) -> DataFrame:
+    """Daily spend, impressions, clicks and row count; unknown counts stay null."""
+    daily = sums.groupBy("calendar_date").agg(
         *add_parts("ad_spend"),
         F.sum("impressions").alias("impressions"),
         F.sum("link_clicks").alias("link_clicks"),
@@ -88,3 +115,8 @@ def ads_daily(ads: DataFrame) -> DataFrame:
         "meta_row_count",
         "reporting_currency",
     )
+
+
+def ads_daily(ads: DataFrame) -> DataFrame:
+    """Spend, impressions, clicks and row count per date."""
+    return ads_from_sums(ads_sums(ads))

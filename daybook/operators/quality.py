@@ -142,6 +142,36 @@ def repeated_keys(
     return firsts.join(blocks, "__block_no").select(key, F.struct(*position).alias("__first"), "__copies")
 
 
+def known_keys(df: DataFrame, earlier: DataFrame, key: str = "order_id") -> DataFrame:
+    """Keys of rows without a reason that some such row of ``earlier`` has too.
+
+    The keys of ``df``, the smaller side, meet the earlier ones in a semi-join, so at most as many
+    keys come out as ``df`` has.
+    """
+    new = accepted(df).select(key).distinct()
+    return accepted(earlier).select(key).join(new, key, "left_semi").distinct()
+
+
+def flag_known(
+    df: DataFrame, known: DataFrame, key: str = "order_id", position: Sequence[str] = POSITION
+) -> DataFrame:
+    """Flag every occurrence of a key that came in before; ``known`` comes from ``known_keys``."""
+    open_row = F.col(REASON).isNull()
+    matched = df.join(
+        known.select(F.col(key).alias("__known")),
+        (_key_of_open_rows(key, position) == F.col("__known")) & open_row,
+        "left",
+    )
+    again = F.when(F.col("__known").isNotNull(), F.lit(DUPLICATE_ORDER))
+    return matched.withColumn(REASON, F.coalesce(F.col(REASON), again)).drop("__known")
+
+
+def _key_of_open_rows(key: str, position: Sequence[str]) -> Column:
+    """The key, or one of its own for a row already rejected, so that blank keys do not gather."""
+    own_key = F.concat(F.lit("\0"), *(F.col(c).cast("string") for c in position))
+    return F.when(F.col(REASON).isNull(), F.col(key)).otherwise(own_key)
+
+
 def flag_repeats(
     df: DataFrame,
     repeats: DataFrame,
@@ -157,8 +187,7 @@ def flag_repeats(
     that blank keys do not gather in one task.
     """
     open_row = F.col(REASON).isNull()
-    own_key = F.concat(F.lit("\0"), *(F.col(c).cast("string") for c in position))
-    left_key = F.when(open_row, F.col(key)).otherwise(own_key)
+    left_key = _key_of_open_rows(key, position)
     firsts = repeats.select(F.col(key).alias("__repeated"), "__first")
     later = F.struct(*position) > F.col("__first")
     return (

@@ -98,6 +98,21 @@ class Params:
             raise CurrencyError(f"no rate from {code} to {self.reporting_currency} is set")
         return self.fx_rates[code]
 
+    @property
+    def row_settings(self) -> str:
+        """The parameters on which clean rows and daily sums depend, as one text."""
+        rates = sorted((code, str(rate.normalize())) for code, rate in self.fx_rates.items())
+        return repr(
+            (
+                self.reporting_timezone,
+                self.reporting_currency,
+                self.orders_currency,
+                self.ads_currency,
+                sorted(self.revenue_statuses),
+                rates,
+            )
+        )
+
     @property
     def known_statuses(self) -> frozenset[str]:
         return self.revenue_statuses | self.excluded_statuses

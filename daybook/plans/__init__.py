@@ -1,7 +1,7 @@
 """Whole jobs built from the operators."""
 
 from daybook.plans.daily_model import daily_model, model_from_daily
-from daybook.plans.daily_run import RunResult, ingest_ads, ingest_orders, run
+from daybook.plans.daily_run import RunResult, add_exports, ingest_ads, ingest_orders, run
 from daybook.plans.reporting import (
     load_model,
     model_date_range,
@@ -13,6 +13,7 @@ from daybook.plans.reporting import (
 
 __all__ = [
     "RunResult",
+    "add_exports",
     "daily_model",
     "ingest_ads",
     "ingest_orders",

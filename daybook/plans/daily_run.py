@@ -16,13 +16,25 @@ from daybook.contracts import (
     T_ADS_DAILY,
     T_ADS_STAGED,
     T_MODEL,
+    T_ADS_SUMS,
     T_ORDER_REPEATS,
     T_ORDERS_CLEAN,
     T_ORDERS_DAILY,
+    T_ORDERS_KNOWN,
     T_ORDERS_STAGED,
+    T_ORDERS_SUMS,
+    T_ROW_SETTINGS,
 )
+from daybook.errors import ParamError
 from daybook.operators.ads import ads_clean, check_ads, flag_ads, interval_samples
-from daybook.operators.daily import ads_daily, orders_daily
+from daybook.operators.daily import (
+    ads_from_sums,
+    ads_sums,
+    merged_ad_sums,
+    merged_order_sums,
+    orders_from_sums,
+    orders_sums,
+)
 from daybook.operators.orders import (
     check_orders,
     flag_orders,
@@ -33,7 +45,9 @@ from daybook.operators.quality import (
     DQReport,
     dq_report,
     enforce_threshold,
+    flag_known,
     flag_repeats,
+    known_keys,
     repeated_keys,
 )
 from daybook.params import Params
@@ -45,7 +59,7 @@ from daybook.sources.tables import TableStore, Version
 
 
 #: tables with the rows of one run as they came in
-STAGED = (T_ORDERS_STAGED, T_ORDER_REPEATS, T_ADS_STAGED)
+STAGED = (T_ORDERS_STAGED, T_ORDER_REPEATS, T_ORDERS_KNOWN, T_ADS_STAGED)
 
 
 @dataclass(frozen=True)
@@ -103,22 +117,30 @@ def ingest_orders(
     store: TableStore | Version,
     *,
     multi_line: bool | None = None,
+    earlier: DataFrame | None = None,
 ) -> Ingested:
     """Read, map, check required values and mark repeated orders.
 
     The CSV text is parsed once, into the staged table. Finding repeats and
-    cleaning then read only the columns they need from it.
+    cleaning then read only the columns they need from it. ``earlier`` has the staged rows
+    of exports that came before; the new ones are stored after them, and orders
+    that are among them are repeats.
     """
     raw, header = read_export(spark, path, ORDER_FIELDS, multi_line=multi_line)
+    write = store.write if earlier is None else store.append
     with parse_failures(path):
-        staged = store.write(flag_orders(raw), T_ORDERS_STAGED)
+        staged = write(flag_orders(raw), T_ORDERS_STAGED)
     repeats = store.write(repeated_keys(staged), T_ORDER_REPEATS)
+    rows = flag_repeats(staged, repeats)
 
     structural = dq_report(staged, "orders")
     surplus = repeats.agg(F.coalesce(F.sum(F.col("__copies") - 1), F.lit(0))).head()[0]
+    if earlier is not None:
+        known = store.write(known_keys(staged, earlier), T_ORDERS_KNOWN)
+        rows = flag_known(rows, known)
+        surplus += known.count()
     reasons = Counter(structural.reasons) + Counter({DUPLICATE_ORDER: surplus})
-    report = DQReport("orders", structural.rows_received, dict(reasons))
-    return Ingested(flag_repeats(staged, repeats), report, header)
+    return Ingested(rows, DQReport("orders", structural.rows_received, dict(reasons)), header)
 
 
 def ingest_ads(
@@ -157,19 +179,54 @@ def run(
     params.rate_from(params.ads_currency)
 
     with tuned(spark):
-        return _rebuild(spark, orders_path, ads_path, store, params, multi_line)
+        return _store_model(spark, orders_path, ads_path, store, params, multi_line, None)
+
+
+def add_exports(
+    spark: SparkSession,
+    orders_path: str,
+    ads_path: str,
+    store: TableStore,
+    params: Params | None = None,
+    *,
+    multi_line: bool | None = None,
+) -> RunResult:
+    """Add two exports to what the store has, without reading the earlier ones again.
+
+    The tables and the model become what ``run`` makes of all exports together, the earlier ones
+    first, to the last bit. Only new rows are parsed and written. Of the rows there are, the order
+    ids alone are looked at, to find orders that came in before; the stored partial
+    sums of each day take in the new ones. Reports and the threshold are about the new
+    rows. Parameters on which clean rows depend must be those of the run before.
+    """
+    require_utc(spark)
+    params = params or Params()
+    params.rate_from(params.orders_currency)
+    params.rate_from(params.ads_currency)
+    before = store.snapshot()
+    if before.exists(T_MODEL):
+        if not before.together(T_MODEL, T_ORDERS_STAGED, T_ORDERS_SUMS, T_ADS_SUMS, T_ROW_SETTINGS):
+            raise ParamError("the raw rows of earlier exports were discarded; run over all exports instead")
+        if before.read(T_ROW_SETTINGS).head()[0] != params.row_settings:
+            raise ParamError("other rates, statuses, currencies or time zone than before; run over all exports instead")
+    with tuned(spark):
+        base = before if before.exists(T_MODEL) else None
+        return _store_model(spark, orders_path, ads_path, store, params, multi_line, base)
 
 
-def _rebuild(
+def _store_model(
     spark: SparkSession,
     orders_path: str,
     ads_path: str,
     store: TableStore,
     params: Params,
     multi_line: bool | None,
+    before: TableStore | None,
 ) -> RunResult:
+    """Read the exports and store all tables, after those of ``before`` if that is set."""
     with store.begin() as version:  # any error removes what was written and changes nothing
-        orders = ingest_orders(spark, orders_path, version, multi_line=multi_line)
+        earlier = None if before is None else before.read(T_ORDERS_STAGED)
+        orders = ingest_orders(spark, orders_path, version, multi_line=multi_line, earlier=earlier)
         ads = ingest_ads(spark, ads_path, version, multi_line=multi_line)
         for source in (orders, ads):
             enforce_threshold(source.report, float(params.dq_rejection_threshold))
@@ -177,12 +234,20 @@ def _rebuild(
         orders_seen, ads_seen = Observation(), Observation()
         checked_orders = check_orders(orders.rows, params, orders_seen)
         checked_ads = check_ads(ads.rows, ads_seen)
-        clean_orders = version.write(orders_clean(checked_orders, params), T_ORDERS_CLEAN)
-        clean_ads = version.write(ads_clean(checked_ads, params), T_ADS_CLEAN)
-
-        orders_by_day = version.write(orders_daily(clean_orders, unique_orders=True), T_ORDERS_DAILY)
-        ads_by_day = version.write(ads_daily(clean_ads), T_ADS_DAILY)
+        write = version.write if before is None else version.append
+        clean_orders = write(orders_clean(checked_orders, params), T_ORDERS_CLEAN)
+        clean_ads = write(ads_clean(checked_ads, params), T_ADS_CLEAN)
+
+        of_orders, of_ads = orders_sums(clean_orders, unique_orders=True), ads_sums(clean_ads)
+        if before is not None:
+            of_orders = merged_order_sums(before.read(T_ORDERS_SUMS).unionByName(of_orders))
+            of_ads = merged_ad_sums(before.read(T_ADS_SUMS).unionByName(of_ads))
+        of_orders, of_ads = version.write(of_orders, T_ORDERS_SUMS), version.write(of_ads, T_ADS_SUMS)
+        orders_by_day = version.write(orders_from_sums(of_orders), T_ORDERS_DAILY)
+        ads_by_day = version.write(ads_from_sums(of_ads), T_ADS_DAILY)
         version.write(model_from_daily(orders_by_day, ads_by_day, params), T_MODEL)
+        settings = spark.createDataFrame([(params.row_settings,)], "settings string")
+        version.write(settings.coalesce(1), T_ROW_SETTINGS)
         return RunResult(
             params,
             _final_report(orders, orders_seen, clean_orders, checked_orders),

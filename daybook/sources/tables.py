@@ -3,7 +3,8 @@
 A version is written apart from everything readers see and then published by one atomic
 act, so a reader finds all of its tables or none, and a run that fails or is killed
 at any point leaves the tables before it as they were. A table is read from the newest
-published version that has it, so a version need not hold every table.
+published version that has it, so a version need not hold every table. A table may also go on
+from the one before: then only its new rows are written, beside a list of earlier parts.
 
 Under a root folder, tables are Parquet folders ``versions/<version>/<table>``, and an empty file
 ``published/<number>-<version>`` publishes one: creating a file is atomic on every file system,
@@ -19,10 +20,13 @@ import uuid
 from collections import Counter
 from dataclasses import dataclass, replace
 from datetime import UTC, datetime, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
 _PROPERTY = "daybook.published"
+#: end of the name of the list of earlier parts of a table
+_PARTS = "_parts"
 _STAMP = "%Y%m%d%H%M%S"
 
 
@@ -70,11 +74,16 @@ class TableStore:
 
     def read(self, name: str) -> DataFrame:
         """The stored table, lazily: later filters and column choices reach the scan."""
-        return self._place.read(name, self._holder(name))
+        return _whole(self._place, name, self._holder(name))
 
     def exists(self, name: str) -> bool:
         return self._holder(name) is not None
 
+    def together(self, *names: str) -> bool:
+        """Whether what is read under these names was published as one version."""
+        holders = {self._holder(name) for name in names}
+        return len(holders) == 1 and None not in holders
+
     def drop(self, name: str) -> None:
         """Remove a table, with its older copies, if it is there."""
         place = self._place
@@ -93,10 +102,13 @@ class TableStore:
         """Drop copies of tables beyond the newest few, and versions that nobody will publish."""
         place, seen = self._place, Counter()
         stored, published = place.stored(), place.published()
+        parts: set[tuple[str, str]] = set()  # what newer copies go on from
         for version in published:
             names = stored.pop(version, ())
             seen.update(names)
-            surplus = [n for n in names if seen[n] > self.keep]
+            kept = {n for n in names if seen[n] <= self.keep}
+            parts |= {(v, n) for n in kept if n + _PARTS in names for v in _parts(place, n, version)}
+            surplus = [n for n in names if n not in kept and (version, n.removesuffix(_PARTS)) not in parts]
             for name in surplus:
                 place.drop(version, name)
             if len(surplus) == len(names):
@@ -121,14 +133,28 @@ class Version:
         self.tables.append(name)
         return self.store._place.write(df, self.name, name)
 
+    def append(self, df: DataFrame, name: str) -> DataFrame:
+        """Write rows that come after those that readers of the store see; return the new rows, stored.
+
+        The rows there are stay where they are. Columns that one side lacks are null.
+        """
+        place, before = self.store._place, self.store._holder(name)
+        earlier = [] if before is None else [*_parts(place, name, before), before]
+        if earlier:
+            listed = self.store.spark.createDataFrame([(v,) for v in earlier], "version string")
+            self.write(listed.coalesce(1), name + _PARTS)
+        return self.write(df, name)
+
     def read(self, name: str) -> DataFrame:
         """A table of this version, published or not."""
-        return self.store._place.read(name, self.name)
+        return _whole(self.store._place, name, self.name)
 
     def drop(self, name: str) -> None:
         """Remove a table of this version."""
-        self.store._place.drop(self.name, name)
-        self.tables.remove(name)
+        for stored in (name, name + _PARTS):
+            if stored in self.tables:
+                self.store._place.drop(self.name, stored)
+                self.tables.remove(stored)
 
     def publish(self) -> None:
         """Let readers see all tables of this version, in one step."""
@@ -151,6 +177,22 @@ class Version:
             self.abandon()
 
 
+def _parts(place: _Folder | _Catalog, name: str, version: str) -> list[str]:
+    """Earlier versions whose rows belong to a version's table."""
+    if not place.has(version, name + _PARTS):
+        return []
+    return sorted(r["version"] for r in place.read(name + _PARTS, version).collect())
+
+
+def _whole(place: _Folder | _Catalog, name: str, version: str | None) -> DataFrame:
+    """A version's table with the parts that it goes on from."""
+    table = place.read(name, version)
+    if version is None:
+        return table
+    parts = [place.read(name, v) for v in _parts(place, name, version)]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [*parts, table])
+
+
 class _Folder:
     """Versions below a root folder of any file system that Spark reads."""
 
@@ -222,9 +264,17 @@ class _Catalog:
 
     def publish(self, version: str, names: list[str]) -> None:
         self._list((version, *self.published()))
-        for name in names:
-            plain = f"`{self.database}`.`{name}`"
-            self.spark.sql(f"CREATE OR REPLACE VIEW {plain} AS SELECT * FROM {self._table(version, name)}")
+        for name in (n for n in names if not n.endswith(_PARTS)):
+            tables = [self._table(v, name) for v in (version, *_parts(self, name, version))]
+            columns = {t: self.spark.table(t).columns for t in tables}
+            every = dict.fromkeys(c for t in tables for c in columns[t])
+            selects = [
+                "SELECT " + ", ".join(f"`{c}`" if c in columns[t] else f"NULL AS `{c}`" for c in every) + f" FROM {t}"
+                for t in tables
+            ]
+            self.spark.sql(
+                f"CREATE OR REPLACE VIEW `{self.database}`.`{name}` AS {' UNION ALL '.join(selects)}"
+            )
 
     def stored(self) -> dict[str, list[str]]:
         found: dict[str, list[str]] = {}

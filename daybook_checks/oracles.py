@@ -479,6 +479,7 @@ SELECT source, reason AS rejection_reason, n,
        (SELECT c.n FROM counts c WHERE c.source = counts.source AND c.reason IS NULL) AS rows_accepted
 FROM counts WHERE reason IS NOT NULL"""
 
+ORACLES["incremental_model"] = ORACLES["end_to_end_model"]
 ORACLES["period_kpis_hours"] = ORACLES["period_kpis"].replace("CAST(4 AS DOUBLE)", "CAST(7.5 AS DOUBLE)")
 
 ORACLES["orders_clean_usd"] = f"""

@@ -260,16 +260,20 @@ def _write_exports(spark, sf_dir) -> tuple[str, str]:
         ("ads-csv", frames.raw_ads(spark, sf_dir), AD_HEADERS),
     ):
         path = scratch_path(spark, label)
-        raw.drop(*POSITION).toDF(*headers).write.options(
-            header=True,
-            escape='"',
-            ignoreLeadingWhiteSpace=False,
-            ignoreTrailingWhiteSpace=False,
-        ).csv(path)
+        _write_csv(raw, headers, path)
         paths.append(path)
     return paths[0], paths[1]
 
 
+def _write_csv(raw: DataFrame, headers: tuple[str, ...], path: str) -> None:
+    raw.drop(*POSITION).toDF(*headers).write.options(
+        header=True,
+        escape='"',
+        ignoreLeadingWhiteSpace=False,
+        ignoreTrailingWhiteSpace=False,
+    ).csv(path)
+
+
 @query
 def end_to_end_model(spark, sf_dir):
     orders_csv, ads_csv = _write_exports(spark, sf_dir)
@@ -440,6 +444,25 @@ def run_report(spark, sf_dir):
     )
 
 
+@query
+def incremental_model(spark, sf_dir):
+    """The model after a first run and an added export, which has the second copies of orders."""
+    orders, ads = frames.raw_orders(spark, sf_dir), frames.raw_ads(spark, sf_dir)
+    later = (F.col("slot") == 1) | (F.col("k") % 5 == 0)
+    k = F.shiftright(F.col(POSITION[2]), 1).alias("k")
+    orders = orders.select("*", k, (F.col(POSITION[2]) % 2).alias("slot"))
+    store = TableStore(spark, root=scratch_path(spark, "run"))
+    for some, more in ((orders.where(~later), F.col(POSITION[2]) % 3 > 0), (orders.where(later), F.col(POSITION[2]) % 3 == 0)):
+        paths = [scratch_path(spark, label) for label in ("orders-csv", "ads-csv")]
+        for frame, headers, path in (
+            (some.drop("k", "slot"), ORDER_HEADERS, paths[0]),
+            (ads.where(more), AD_HEADERS, paths[1]),
+        ):
+            _write_csv(frame, headers, path)
+        model = plans.add_exports(spark, *paths, store, Params(dq_rejection_threshold=1)).model
+    return model
+
+
 @query
 def period_kpis_hours(spark, sf_dir):
     return plans.period_kpis(_model(spark, sf_dir), Params(admin_hours_per_week=Decimal("7.5")))

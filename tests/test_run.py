@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
+import random
 import time
 from datetime import date
 
 import pytest
 
-from daybook import CurrencyError, DataQualityError, Params, SchemaError
+from daybook import CurrencyError, DataQualityError, ParamError, Params, SchemaError
 from daybook.contracts import T_ADS_CLEAN, T_ADS_DAILY, T_MODEL, T_ORDERS_CLEAN, T_ORDERS_DAILY
 from daybook.operators import DQReport, check_ads, enforce_threshold, interval_samples, rejected
-from daybook.plans import ingest_ads, ingest_orders, load_model, period_kpis, run, run_summary
+from daybook.plans import add_exports, ingest_ads, ingest_orders, load_model, period_kpis, run, run_summary
 from daybook.plans.daily_run import STAGED
 from daybook.sources import TableStore
 from daybook.sources.tables import Version
@@ -257,6 +258,56 @@ def test_a_killed_run_is_cleared_away_later(spark, exports, tmp_path):
     assert len(list((tmp_path / "store" / "published").glob("0*"))) == store.keep
 
 
+def split_at_random(rng, lines, n):
+    """The lines in n runs that keep their order."""
+    cuts = sorted(rng.randint(0, len(lines)) for _ in range(n - 1))
+    return [lines[a:b] for a, b in zip([0, *cuts], [*cuts, len(lines)], strict=True)]
+
+
+def test_added_exports_give_what_one_run_gives(spark, tmp_path):
+    rng = random.Random(1)
+    orders = [
+        f"{rng.choice(['', *map(str, range(30))])},{rng.choice(['soon', f'2026-09-{rng.randint(1, 28):02} 0{rng.randint(0, 9)}:00'])},"
+        f"{rng.choice(['paid', 'paid', 'lost'])},{rng.uniform(0, 9e5)},0,{rng.choice(['x', rng.uniform(0, 1e-3)])},1,0,ETB"
+        for _ in range(90)
+    ]
+    ads = [
+        f"2026-09-{(d := rng.randint(1, 28)):02},2026-09-{d:02},A,{rng.uniform(0, 3)},{rng.choice(['', 7])},{rng.choice(['', 3])}"
+        for _ in range(40)
+    ]
+    lenient = Params(dq_rejection_threshold=1, cogs_percentage="0.3")
+    whole = TableStore(spark, root=str(tmp_path / "whole"))
+    run(spark, *save(tmp_path, [ORDER_HEADER, *orders], [AD_HEADER, *ads]), whole, lenient)
+    parts = TableStore(spark, root=str(tmp_path / "parts"), keep=1)
+    for k, (some, more) in enumerate(zip(split_at_random(rng, orders, 3), split_at_random(rng, ads, 3), strict=True)):
+        folder = tmp_path / f"export-{k}"
+        folder.mkdir()
+        result = add_exports(spark, *save(folder, [ORDER_HEADER, *some], [AD_HEADER, *more]), parts, lenient)
+        assert result.orders_report.rows_received == len(some)
+    for name in (T_ORDERS_CLEAN, T_ADS_CLEAN, T_ORDERS_DAILY, T_ADS_DAILY, T_MODEL):
+        got, want = (sorted(map(repr, s.read(name).collect())) for s in (parts, whole))
+        assert got == want
+    with pytest.raises(ParamError, match="run over all exports"):
+        add_exports(spark, *save(tmp_path, [ORDER_HEADER], [AD_HEADER]), parts, Params(orders_currency="USD"))
+    result.discard_staged()
+    with pytest.raises(ParamError, match="discarded"):
+        add_exports(spark, *save(tmp_path, [ORDER_HEADER], [AD_HEADER]), parts, lenient)
+
+
+def test_exports_are_added_in_a_catalog(spark, exports, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS daybook_add")
+    try:
+        store = TableStore(spark, database="daybook_add", keep=1)
+        run(spark, *exports, store)
+        more = save(tmp_path, [ORDER_HEADER, "S9,2026-09-09,paid,1,0,1,0,0,ETB", "S001,2026-09-09,paid,1,0,1,0,0,ETB"], [AD_HEADER])
+        result = add_exports(spark, *more, store, Params(dq_rejection_threshold=1))
+        assert dict(result.orders_report.reasons) == {"duplicate_order_id": 1}
+        assert store.read(T_ORDERS_CLEAN).count() == spark.table(f"daybook_add.{T_ORDERS_CLEAN}").count() == 7
+        assert load_model(store).count() == 9
+    finally:
+        spark.sql("DROP DATABASE daybook_add CASCADE")
+
+
 def test_a_reader_keeps_its_version(spark, exports, tmp_path, store):
     run(spark, *exports, store)
     seen = store.snapshot()

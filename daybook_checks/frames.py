@@ -68,6 +68,8 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("o_orderstatus").alias("code"),
         F.col("o_orderdate").cast("timestamp").alias("day_start"),
     )
+    # Spread by key like the lines, as a small table may be one row group and so one task.
+    orders = orders.repartition("k")
     clock = F.make_dt_interval(F.lit(0), F.col("k") % 24, F.col("k") % 60, F.lit(0))
     return orders.join(lines, orders["k"] == lines["l_orderkey"], "left").select(
         "k",

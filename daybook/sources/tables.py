@@ -88,8 +88,9 @@ class TableStore:
         """Remove a table, with its older copies, if it is there."""
         place = self._place
         for version in self._published():
-            if place.has(version, name):
-                place.drop(version, name)
+            for stored in (name, name + _PARTS):
+                if place.has(version, stored):
+                    place.drop(version, stored)
 
     def _published(self) -> tuple[str, ...]:
         return self._place.published() if self.pinned is None else self.pinned
@@ -105,10 +106,13 @@ class TableStore:
         parts: set[tuple[str, str]] = set()  # what newer copies go on from
         for version in published:
             names = stored.pop(version, ())
-            seen.update(names)
-            kept = {n for n in names if seen[n] <= self.keep}
-            parts |= {(v, n) for n in kept if n + _PARTS in names for v in _parts(place, n, version)}
-            surplus = [n for n in names if n not in kept and (version, n.removesuffix(_PARTS)) not in parts]
+            tables = [n for n in names if not n.endswith(_PARTS)]
+            seen.update(tables)
+            kept = {n for n in tables if seen[n] <= self.keep}
+            parts |= {(v, n) for n in kept for v in _parts(place, n, version)}
+            # A list of parts goes with its table; a part that newer copies go on from needs none.
+            kept = {*kept, *(n + _PARTS for n in kept), *(n for n in tables if (version, n) in parts)}
+            surplus = [n for n in names if n not in kept]
             for name in surplus:
                 place.drop(version, name)
             if len(surplus) == len(names):

@@ -115,8 +115,8 @@ def test_running_again_changes_nothing(spark, exports, store):
 def test_a_catalog_works_like_a_folder(spark, exports):
     spark.sql("CREATE DATABASE IF NOT EXISTS daybook_run")
     try:
-        store = TableStore(spark, database="daybook_run")
-        for _ in range(3):
+        store = TableStore(spark, database="daybook_run", keep=1)
+        for _ in range(2):
             run(spark, *exports, store)
         assert spark.table("daybook_run.daily_financial_model").count() == 5
         assert store.read(T_MODEL).count() == store.snapshot().read(T_MODEL).count() == 5
@@ -222,7 +222,7 @@ def test_only_ingestion_counts_for_the_threshold(spark, exports, tmp_path, store
         run(spark, *messy, store, Params(dq_rejection_threshold="0.4"))
 
 
-@pytest.mark.parametrize(("fails_at", "error"), [(0, RuntimeError), (4, KeyboardInterrupt), (7, RuntimeError)])
+@pytest.mark.parametrize(("fails_at", "error"), [(1, KeyboardInterrupt), (9, RuntimeError)])
 def test_a_run_that_breaks_off_leaves_the_model_before_it(spark, exports, tmp_path, store, monkeypatch, fails_at, error):
     run(spark, *exports, store)
     before = {name: store.read(name).collect() for name in (T_ORDERS_CLEAN, T_ADS_DAILY, T_MODEL)}
@@ -247,13 +247,13 @@ def test_a_run_that_breaks_off_leaves_the_model_before_it(spark, exports, tmp_pa
     assert [r.calendar_date.day for r in run(spark, *fewer, store).model.collect()] == [9]
 
 
-def test_a_killed_run_is_cleared_away_later(spark, exports, tmp_path):
+def test_a_killed_run_is_cleared_away_later(spark, tmp_path):
     store = TableStore(spark, root=str(tmp_path / "store"), orphan_days=0)
     store.begin().write(spark.range(3), T_MODEL)  # never published
     assert not store.exists(T_MODEL)
     time.sleep(1.1)
     for _ in range(4):
-        run(spark, *exports, store)
+        store.write(spark.range(3), T_MODEL)
     assert len(list((tmp_path / "store" / "versions").iterdir())) == store.keep
     assert len(list((tmp_path / "store" / "published").glob("0*"))) == store.keep
 
@@ -279,7 +279,7 @@ def test_added_exports_give_what_one_run_gives(spark, tmp_path):
     whole = TableStore(spark, root=str(tmp_path / "whole"))
     run(spark, *save(tmp_path, [ORDER_HEADER, *orders], [AD_HEADER, *ads]), whole, lenient)
     parts = TableStore(spark, root=str(tmp_path / "parts"), keep=1)
-    for k, (some, more) in enumerate(zip(split_at_random(rng, orders, 3), split_at_random(rng, ads, 3), strict=True)):
+    for k, (some, more) in enumerate(zip(split_at_random(rng, orders, 2), split_at_random(rng, ads, 2), strict=True)):
         folder = tmp_path / f"export-{k}"
         folder.mkdir()
         result = add_exports(spark, *save(folder, [ORDER_HEADER, *some], [AD_HEADER, *more]), parts, lenient)

@@ -35,14 +35,14 @@ def _pair(left: Column, right: Column) -> Column:
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
-    """Whole rows beside text, key (doc_id) and a tag that keeps documents with one doc_id apart.
+    """Text, key (doc_id), a tag that keeps documents with one doc_id apart, and all else in one column.
 
-    Rows are one column, so none of theirs can clash. Also tells whether doc_ids repeat.
+    As one column the rest of a row cannot clash. Also tells whether doc_ids repeat.
     """
     count = docs.agg(F.count("doc_id").alias("n"), F.count_distinct("doc_id").alias("d")).first()
     repeated = count["d"] < count["n"]
     tag = F.xxhash64("text") if repeated else F.lit(0).cast("long")
-    row = F.struct(*[docs[c] for c in docs.columns])
+    row = F.struct(*[docs[c] for c in docs.columns if c != "text"])
     keyed = docs.select(row.alias("row"), docs["text"], docs["doc_id"].cast("long").alias("key"), tag.alias("tag"))
     return keyed, repeated
 

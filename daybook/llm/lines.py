@@ -1,18 +1,22 @@
-"""Operator 9: line deduplication by prefix doubling over sequences of line IDs.
+"""Operator 9: line deduplication by a suffix array over sequences of line IDs.
 
-Every document is a sequence of line IDs. Suffixes that begin with the same lines form an
-interval of the suffix array, whose longest common prefix is at least that many lines. The
-intervals come from prefix doubling: the name of the 2m lines at a place is made of the
-names of the m lines there and m lines on, and any other length of two overlapping names. An
-interval's first place keeps its lines; later places lose them. Lines that occur once are in no
-interval, so only repeated lines take part after the first count.
+Every document is a sequence of line IDs. Prefix doubling ranks all suffixes by their first 1,
+2, 4, ... lines: the rank by 2m lines is that of two ranks by m lines, m lines apart. Suffixes of
+one rank are an interval of the suffix array whose longest common prefix is at least that
+many lines. Suffixes that share their lines with no other have found their place and leave;
+doubling ends with the longest repeat. An interval's first place keeps its lines, later places
+lose them. A longest run of L lines is the union of the intervals of depth m <= L < 2m
+that start in it; where short depths may lack words, those between have intervals too.
 
 All of it is DataFrame code. Only IDs move until the texts meet their list of removed lines.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from daybook.llm.common import WORD
@@ -21,19 +25,15 @@ from daybook.session import settle
 #: A run of repeated lines counts if it has this many words in all.
 LEAST_WORDS = 5
 
+#: Names that hold more than one in so many of all places meet them by broadcast: fewer rows than
+#: this. Of the others, none holds more than that share of a shuffle.
+HOT = 1000
+
 
 #: Columns that the result has besides those of the documents.
 ADDED = ("n_lines", "n_removed")
 
 
-def _pair(left: Column, right: Column) -> Column:
-    """Name of two names in a row: two independent 64-bit hashes."""
-    return F.struct(
-        F.xxhash64(left["x"], left["y"], right["x"], right["y"]).alias("x"),
-        F.xxhash64(F.lit(1), right["y"], left["x"], right["x"], left["y"]).alias("y"),
-    )
-
-
 def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
     """Text, key (doc_id), a tag that keeps documents with one doc_id apart, and all else in one column.
 
@@ -48,21 +48,82 @@ def _keyed(docs: DataFrame) -> tuple[DataFrame, bool]:
 
 
 def line_table(keyed: DataFrame, repeated: bool) -> DataFrame:
-    """Every line that has a word: key, tag, number, place among such lines, words, ID (x, y)."""
+    """Every line that has a word: key, tag, place among such lines, number, words, ID (x, y)."""
+    every = F.transform(F.split("text", "\n", -1), lambda line, i: F.struct(i.alias("number"), line.alias("line")))
     lines = keyed.where("text is not null and key is not null").select(
-        "key",
-        "tag",
-        F.posexplode(F.split("text", "\n", -1)).alias("number", "line"),
+        "key", "tag", F.posexplode(F.filter(every, lambda e: e["line"].rlike(WORD))).alias("at", "e")
     )
     lines = lines.select(
         "key",
         "tag",
-        "number",
-        F.regexp_count("line", F.lit(WORD)).alias("words"),
-        F.xxhash64("line").alias("x"),
-        F.xxhash64(F.lit(1), "line").alias("y"),
-    ).where("words > 0")
-    return lines.dropDuplicates(["key", "tag", "number"]) if repeated else lines
+        "at",
+        "e.number",
+        F.regexp_count("e.line", F.lit(WORD)).alias("words"),
+        F.xxhash64("e.line").alias("x"),
+        F.xxhash64(F.lit(1), "e.line").alias("y"),
+    )
+    return lines.dropDuplicates(["key", "tag", "at"]) if repeated else lines
+
+
+def _shared(places: DataFrame, names: list[str], total: int) -> DataFrame:
+    """The places whose name another place has too, with its rank and first place; in the order of names.
+
+    Ranks follow the names: they are given out along a range partitioning of the distinct ones.
+    """
+    groups = places.groupBy(*names).agg(F.min("spot").alias("first"), F.count("*").alias("n")).where("n > 1")
+    ranked = groups.repartitionByRange(*names).sortWithinPartitions(*names)
+    ranked = settle(ranked.withColumn("rank", F.monotonically_increasing_id()), "line-intervals")
+    frequent = F.col("n") * HOT > total
+    hot = places.join(F.broadcast(ranked.where(frequent).drop("n")), names, "left")
+    cold = hot.where("rank is null").drop("rank", "first")
+    cold = cold.join(ranked.where(~frequent).drop("n").hint("merge"), names)
+    return hot.where("rank is not null").unionByName(cold).drop(*names)
+
+
+def _order() -> WindowSpec:
+    return Window.partitionBy("key", "tag").orderBy("at")
+
+
+def _ahead(lines: int) -> Column:
+    """Rank of the suffix so many lines on, if it is one of these."""
+    return F.max("rank").over(_order().rangeBetween(lines, lines))
+
+
+def intervals(lines: DataFrame, least_words: int = LEAST_WORDS) -> Iterator[tuple[int, DataFrame]]:
+    """Depth and members of the suffix array's intervals: 1, 2, 4, ... and all up to ``least_words``.
+
+    ``lines`` is a line table. Members have key, tag, at (first line of the suffix), rank
+    (one per interval, in the order of the suffixes), later (not the interval's first place) and
+    need (lines from there on that have ``least_words`` words). The first has number, too.
+    """
+    # A place in the order of all lines, in one number that a hash aggregate can hold.
+    spot = F.col("key").cast("decimal(38,0)") * F.lit(2**31).cast("decimal(12,0)") + F.col("number")
+    level = _shared(lines.withColumn("spot", spot.cast("decimal(38,0)")), ["x", "y"], lines.count())
+    need = F.lit(least_words)
+    for some in range(least_words - 1, 0, -1):
+        words = F.sum("words").over(_order().rangeBetween(0, some - 1))
+        need = F.when(words >= least_words, some).otherwise(need)
+    level = level.withColumn("need", need).drop("words")
+    depth = 1
+    while True:
+        later = (F.col("spot") > F.col("first")).alias("later")
+        between = range(depth + 1, min(2 * depth - 1, least_words) + 1)
+        ahead = [_ahead(some - depth).alias(f"ahead_{some}") for some in [*between, 2 * depth]]
+        level = settle(level.select(*[c for c in level.columns if c != "first"], later, *ahead), "line-ranks")
+        yield depth, level
+        for some in [*between, 2 * depth]:
+            pairs = level.select(
+                "key", "tag", "at", "need", "spot", F.col("rank").alias("a"), F.col(f"ahead_{some}").alias("b")
+            ).where("b is not null")
+            total = pairs.count()
+            if total == 0:
+                continue
+            deeper = _shared(pairs, ["a", "b"], total)
+            if some in between:
+                yield some, deeper.withColumn("later", F.col("spot") > F.col("first"))
+        if total == 0:
+            return
+        level, depth = deeper, 2 * depth
 
 
 def removed_lines(keyed: DataFrame, repeated: bool, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -70,54 +131,20 @@ def removed_lines(keyed: DataFrame, repeated: bool, least_words: int = LEAST_WOR
 
     Columns: key, tag, removed (line numbers). Earlier means a smaller (doc_id, line number).
 
-    Every line of a run that is long enough lies in a shortest such run within it, and as each
-    line has a word, a shortest run has at most ``least_words`` lines. Doubling goes to that depth.
+    As each line has a word, a longer run than ``least_words`` lines is covered by shorter ones
+    that have the words; runs up to that length are looked at in every length.
     """
-    lines = settle(line_table(keyed, repeated), "lines")
-    often = lines.groupBy("x", "y").agg(F.count("*").alias("n")).where("n > 1").select("x", "y")
-    # Numbering by lines with a word lets runs reach across blank lines.
-    order = Window.partitionBy("key", "tag").orderBy("number")
-    before_unique = lines.join(often.withColumn("often", F.lit(True)), ["x", "y"], "left")
-    placed = before_unique.withColumn("at", F.row_number().over(order)).where("often")
-    column = placed.select(
-        "key", "tag", "number", "at", "words", F.struct("x", "y").alias("name_1"), F.lit(1).alias("one")
-    )
-    column = column.withColumn("upto", F.sum("words").over(order))
-    depth = 1
-    while depth * 2 <= least_words:
-        follows = F.lead("at", depth).over(order) == F.col("at") + depth
-        doubled = _pair(F.col(f"name_{depth}"), F.lead(f"name_{depth}", depth).over(order))
-        column = column.withColumn(f"name_{depth * 2}", F.when(follows, doubled))
-        depth *= 2
-    for m in range(2, least_words + 1):
-        half = 1 << (m.bit_length() - 1)
-        if half == m:
-            continue
-        follows = F.lead("at", m - half).over(order) == F.col("at") + (m - half)
-        ends = F.lead(f"name_{half}", m - half).over(order)
-        column = column.withColumn(f"name_{m}", F.when(follows & ends.isNotNull(), _pair(F.col(f"name_{half}"), ends)))
-    runs = []
-    for m in range(1, least_words + 1):
-        total = F.lead("upto", m - 1).over(order) - F.col("upto") + F.col("words")
-        last = F.lead("words", m - 1).over(order)
-        shortest = (total - last < least_words) | (total - F.col("words") < least_words)
-        numbers = F.array(*[F.lead("number", j).over(order) for j in range(m)])
-        run = F.struct(F.lit(m).alias("m"), F.col(f"name_{m}").alias("name"), numbers.alias("numbers"))
-        counts = F.col(f"name_{m}").isNotNull() & (total >= least_words) & shortest
-        column = column.withColumn(f"run_{m}", F.when(counts, run))
-        runs.append(f"run_{m}")
-    run = F.explode(F.array_compact(F.array(*runs)))
-    column = column.select("key", "tag", run.alias("run")).select(
-        "key", "tag", "run.m", F.col("run.name.x").alias("x"), F.col("run.name.y").alias("y"), "run.numbers"
-    )
-    # A place in the order of all lines, in one number that a hash aggregate can hold.
-    spot = F.col("key").cast("decimal(38,0)") * F.lit(2**31).cast("decimal(12,0)") + F.col("numbers")[0]
-    suffixes = settle(column.withColumn("spot", spot.cast("decimal(38,0)")), "line-runs")
-    intervals = suffixes.groupBy("m", "x", "y").agg(F.min("spot").alias("first"), F.count("*").alias("n"))
-    later = suffixes.join(intervals.where("n > 1"), ["m", "x", "y"]).where("spot > first")
-    return later.groupBy("key", "tag").agg(
-        F.array_distinct(F.flatten(F.collect_list("numbers"))).alias("removed")
-    )
+    reaches = []
+    for depth, members in intervals(settle(line_table(keyed, repeated), "lines"), least_words):
+        counts = F.col("later") & (F.col("need") <= depth)
+        reach = F.when(counts, F.col("at") + depth).otherwise(F.col("at")).alias("reach")
+        number = F.col("number") if depth == 1 else F.lit(None).cast("int")
+        found = members.select("key", "tag", "at", number.alias("number"), reach)
+        reaches.append(found if depth == 1 else found.where("reach > at"))
+    # Rows of one document by place; whatever starts up to a line may reach beyond it.
+    covered = reduce(DataFrame.unionByName, reaches).withColumn("upto", F.max("reach").over(_order()))
+    removed = covered.where("number is not null and upto > at")
+    return removed.groupBy("key", "tag").agg(F.collect_list("number").alias("removed"))
 
 
 def remove_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:

@@ -400,3 +400,46 @@ def test_components(spark):
         parent[max(x, y)] = min(x, y)
     rows = components(spark.createDataFrame(edges, "a long, b long")).collect()
     assert {r.node: r.component for r in rows} == {x: root(x) for e in edges if e[0] != e[1] for x in e}
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_line_intervals_match_brute_force(spark, monkeypatch, hot):
+    """Every interval of the suffix array: members, order of ranks, first places; then the removed lines."""
+    monkeypatch.setattr(lines, "HOT", hot)  # 1: all names are joined by shuffles
+    rng = random.Random(5)
+    block = [f"l{i}" for i in range(23)]
+    docs = [[rng.choice(["a", "b", "c d", "e f g h i"]) for _ in range(rng.randrange(30))] for _ in range(12)]
+    docs += [block, block[3:] + ["z"], ["y", *block[:19]], ["a"] * 21, ["only here"]]
+    frame = spark.createDataFrame([(i, "\n\n".join(d)) for i, d in enumerate(docs)], "doc_id long, text string")
+    keyed, repeated = lines._keyed(frame)
+    table = lines.line_table(keyed, repeated)
+    names = {}
+    for r in table.collect():
+        names[r.key, r.at] = (r.x, r.y)
+    assert len(names) == sum(map(len, docs))
+    depths = []
+    for depth, members in lines.intervals(table):
+        depths.append(depth)
+        want = defaultdict(list)
+        for key, d in enumerate(docs):
+            for at in range(len(d) - depth + 1):
+                want[tuple(names[key, at + j] for j in range(depth))].append((key, at))
+        want = {n: places for n, places in want.items() if len(places) > 1}
+        got = defaultdict(list)
+        for r in members.collect():
+            got[r.rank].append((r.key, r.at, r.later))
+        # In the order of ranks the intervals are in the order of their first lines.
+        assert [sorted(p[:2] for p in got[r]) for r in sorted(got)] == [want[n] for n in sorted(want)]
+        assert all([later for *_, later in sorted(places)] == [False] + [True] * (len(places) - 1) for places in got.values())
+    assert depths == [1, 2, 3, 4, 5, 8, 16]  # the longest repeat has 20 lines
+    firsts, gone = {}, defaultdict(set)
+    for key, d in enumerate(docs):
+        for at in range(len(d)):
+            for end in range(at + 1, len(d) + 1):
+                run = tuple(d[at:end])
+                if firsts.setdefault(run, (key, at)) != (key, at) and len(" ".join(run).split()) >= 5:
+                    gone[key].update(range(at, end))
+    left = {key: [x for i, x in enumerate(d) if i not in gone[key]] for key, d in enumerate(docs)}
+    for r in lines.remove_lines(frame).collect():
+        assert [x for x in r.text.split("\n") if x] == left[r.doc_id]
+        assert r.n_removed == len(docs[r.doc_id]) - len(left[r.doc_id])

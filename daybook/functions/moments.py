@@ -74,7 +74,7 @@ def parse_timestamp(text: Column) -> Column:
 def parse_date(text: Column) -> Column:
     """Calendar date text, year first with dashes or slashes, or null."""
     body = F.regexp_extract(stripped(text), DATE_LAYOUT, 0)
-    day = F.translate(body, "/", "-").try_cast("date")
+    day = F.replace(body, F.lit("/"), F.lit("-")).try_cast("date")
     in_range = day.between(F.lit(EARLIEST_DATE).cast("date"), F.lit(LATEST_DATE).cast("date"))
     return F.when(in_range, day)
 

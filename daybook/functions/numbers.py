@@ -30,10 +30,12 @@ ASCII_WHITESPACE = " \t\n\x0b\x0c\r"
 
 # The short paths take amounts that cannot overflow; longer ones go the general way.
 PLAIN_AMOUNT = r"^-?[0-9]{1,300}(?:\.[0-9]+)?\z"
-_USUAL = r"(?:[0-9]{1,3}(?:[, ][0-9]{3}){0,60}|[0-9]{1,300})(?:\.[0-9]+)?"
-# The second group is an amount in parentheses; its opening one becomes the sign.
+# Nothing that a quantifier took is tried again in a shorter form; no shorter one could match.
+_USUAL = r"[0-9]{1,100}+(?:[, ][0-9]{3}){0,60}+(?:\.[0-9]++)?+"
+# An amount in parentheses starts with the opening one, which becomes the sign.
 USUAL_AMOUNT = (
-    rf"^(?:[ \t]*(?:[A-Z]{{3}} |[{CURRENCY_SYMBOLS}])?(-?{_USUAL})(?: [A-Z]{{3}})?[ \t]*|(\({_USUAL})\))\z"
+    rf"^(?:[ \t]*(?:[A-Z]{{3}} |[{CURRENCY_SYMBOLS}])?)"
+    rf"(^\({_USUAL}(?=\)\z)|-?{_USUAL}(?=(?: [A-Z]{{3}})?[ \t]*\z))"
 )
 PLAIN_INTEGER = r"^[+-]?[0-9]+\z"
 _NUMBER = r"[+-]?(?:[0-9]+(?:\.[0-9]*)?|\.[0-9]+)(?:[eE][+-]?[0-9]+)?"
@@ -60,11 +62,14 @@ def parse_money(text: Column) -> Column:
     body = F.regexp_replace(body, THOUSANDS_MARK, "")
     # "No match" extracts as empty text, which casts to null.
     amount = F.regexp_extract(body, AMOUNT_IN_PARENTHESES_OR_NOT, 1).try_cast("double")
-    usual = F.translate(F.regexp_replace(text, USUAL_AMOUNT, "$1$2"), "(, ", "-")
-    return (
-        F.when(text.rlike(PLAIN_AMOUNT), text.try_cast("double"))
-        .when(text.rlike(USUAL_AMOUNT), usual.try_cast("double"))
-        .otherwise(_finite(amount * sign))
+    # One search both tells whether a spelling is usual and finds its amount: none gives null.
+    usual = F.get(F.regexp_extract_all(text, F.lit(USUAL_AMOUNT), F.lit(1)), F.lit(0))
+    for mark, instead in ((",", ""), (" ", ""), ("(", "-")):
+        usual = F.replace(usual, F.lit(mark), F.lit(instead))
+    return F.coalesce(
+        F.when(text.rlike(PLAIN_AMOUNT), text.try_cast("double")),
+        usual.try_cast("double"),
+        _finite(amount * sign),
     )
 
 

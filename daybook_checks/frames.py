@@ -42,8 +42,8 @@ def _every(key: str, n: int) -> Column:
     return F.col(key) % n == 0
 
 
-def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order (amounts are zero without lines): key, status code, moment (UTC), exact amounts."""
+def order_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order: key, status code, day and sums over its lines in whole units, null without lines."""
     # Whole cents and per cents: sums of longs are exact and cheap.
     cents, off, tax = (
         F.round(F.col(c) * 100).cast("bigint") for c in ("l_extendedprice", "l_discount", "l_tax")
@@ -58,11 +58,6 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
 
-    def scaled(units: Column, places: int) -> Column:
-        step = F.lit(Decimal(1).scaleb(-places))
-        whole = F.coalesce(units, F.lit(0)).cast("decimal(18,0)")
-        return (whole * step).cast(f"decimal(20,{places})")
-
     orders = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("k"),
         F.col("o_orderstatus").alias("code"),
@@ -70,8 +65,22 @@ def order_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     # Spread by key like the lines, as a small table may be one row group and so one task.
     orders = orders.repartition("k")
+    return orders.join(lines, orders["k"] == lines["l_orderkey"], "left").drop("l_orderkey")
+
+
+def order_facts(spark: SparkSession, sf_dir: str, units: DataFrame | None = None) -> DataFrame:
+    """One row per order (amounts are zero without lines): key, status code, moment (UTC), exact amounts.
+
+    ``units`` has rows of ``order_units``, if they are stored already.
+    """
+
+    def scaled(amount: Column, places: int) -> Column:
+        step = F.lit(Decimal(1).scaleb(-places))
+        whole = F.coalesce(amount, F.lit(0)).cast("decimal(18,0)")
+        return (whole * step).cast(f"decimal(20,{places})")
+
     clock = F.make_dt_interval(F.lit(0), F.col("k") % 24, F.col("k") % 60, F.lit(0))
-    return orders.join(lines, orders["k"] == lines["l_orderkey"], "left").select(
+    return (order_units(spark, sf_dir) if units is None else units).select(
         "k",
         "code",
         "day_start",
@@ -183,11 +192,14 @@ def day_text(day: Column, selector: Column) -> Column:
 # ------------------------------------------------------------------ raw frames
 
 
-def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders as export text under canonical names, with row positions."""
+def raw_orders(spark: SparkSession, sf_dir: str, units: DataFrame | None = None) -> DataFrame:
+    """Orders as export text under canonical names, with row positions.
+
+    ``units`` has rows of ``order_units``, if they are stored already.
+    """
     copies = F.when(_every("k", 53), 2).otherwise(1)
     rows = (
-        order_facts(spark, sf_dir)
+        order_facts(spark, sf_dir, units)
         .withColumn("slot", F.explode(F.sequence(F.lit(0), copies - 1)))
         .withColumn("copy", F.when(_every("k", 106), 1 - F.col("slot")).otherwise(F.col("slot")))
     )

@@ -447,15 +447,21 @@ def run_report(spark, sf_dir):
 @query
 def incremental_model(spark, sf_dir):
     """The model after a first run and an added export, which has the second copies of orders."""
-    orders, ads = frames.raw_orders(spark, sf_dir), frames.raw_ads(spark, sf_dir)
-    later = (F.col("slot") == 1) | (F.col("k") % 5 == 0)
-    k = F.shiftright(F.col(POSITION[2]), 1).alias("k")
-    orders = orders.select("*", k, (F.col(POSITION[2]) % 2).alias("slot"))
+    # Lines are summed and joined once; either export reads the orders that it has any row of.
+    units = settle(frames.order_units(spark, sf_dir), "units")
+    ads = frames.raw_ads(spark, sf_dir)
+    fifth, second = F.col("k") % 5 == 0, F.col("k") % 53 == 0
+    k, slot = F.shiftright(F.col(POSITION[2]), 1), F.col(POSITION[2]) % 2
+    later = (slot == 1) | (k % 5 == 0)
     store = TableStore(spark, root=scratch_path(spark, "run"))
-    for some, more in ((orders.where(~later), F.col(POSITION[2]) % 3 > 0), (orders.where(later), F.col(POSITION[2]) % 3 == 0)):
+    for part, rows, more in (
+        (units.where(~fifth), ~later, F.col(POSITION[2]) % 3 > 0),
+        (units.where(fifth | second), later, F.col(POSITION[2]) % 3 == 0),
+    ):
+        some = frames.raw_orders(spark, sf_dir, part).where(rows)
         paths = [scratch_path(spark, label) for label in ("orders-csv", "ads-csv")]
         for frame, headers, path in (
-            (some.drop("k", "slot"), ORDER_HEADERS, paths[0]),
+            (some, ORDER_HEADERS, paths[0]),
             (ads.where(more), AD_HEADERS, paths[1]),
         ):
             _write_csv(frame, headers, path)

@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as driver
 from daybook.contracts import DAILY_MODEL
+from daybook_checks import queries
 from daybook_checks.oracles import ORACLES
 from daybook_checks.queries import QUERIES
 from daybook_checks.compare import differences, oracle_connection
@@ -46,3 +47,16 @@ def test_queries_stay_in_the_jvm(spark, name):
     plan = plan_of(driver.queries()[name](spark, SMALL))
     assert "Python" not in plan and "CartesianProduct" not in plan
     assert "BroadcastNestedLoopJoin" not in plan
+
+
+def test_lines_are_summed_once_for_both_exports(spark, monkeypatch):
+    read, write = [], queries._write_csv
+
+    def spied(raw, *rest):
+        read.extend(raw.inputFiles())
+        write(raw, *rest)
+
+    monkeypatch.setattr(queries, "_write_csv", spied)
+    assert QUERIES["incremental_model"](spark, SMALL).count() > 0
+    assert any("events" in file for file in read)
+    assert not any("lineitem" in file for file in read)

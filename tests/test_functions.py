@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 
 from daybook import CurrencyError, Params
 from daybook import functions as fn
+from daybook.functions import numbers
 from daybook.functions.measures import round_tenths
-from tests.conftest import evaluate
+from tests.conftest import evaluate, optimized_plan_of
 
 MONEY = [
     # plain
@@ -342,3 +343,18 @@ def test_roas_bands_at_the_thresholds(spark):
 def test_rounding_halves_to_even(spark):
     got = evaluate(spark, lambda c: fn.round_half_even(c, 2), [0.125, 2.675, 1.005, None], "double")
     assert got == [0.12, 2.68, 1.0, None]
+
+
+def test_a_usual_amount_is_searched_once(spark):
+    money = spark.range(1).select(fn.parse_money(F.col("id").cast("string")).alias("x"))
+    assert optimized_plan_of(money).count(numbers.USUAL_AMOUNT) == 1
+
+
+def test_long_and_mixed_amounts(spark):
+    texts = ["12345,678", "(12345 678)", "ETB 7,000 000", "(-5)", "(5) ", "ETB 1 2345", "1." + "0" * 400]
+    assert evaluate(spark, fn.parse_money, texts) == [12345678.0, -12345678.0, 7e6, 5.0, None, None, 1.0]
+    digits = ["9" * n + tail for n in (100, 101, 300, 400) for tail in ("", " ETB")]
+    want = [float(d.split()[0]) if len(d) < 310 else None for d in digits]
+    assert evaluate(spark, fn.parse_money, digits) == want
+    many = ["$1" + ",234" * k for k in (60, 61, 110)]
+    assert evaluate(spark, fn.parse_money, many) == [float("1" + "234" * 60), float("1" + "234" * 61), None]

@@ -5,6 +5,7 @@ import pytest
 from daybook import SchemaError
 from daybook.contracts import AD_FIELDS, ORDER_FIELDS, POSITION, REASON, InputField
 from daybook.operators import flag_ads, flag_missing, flag_orders
+from daybook.sources import csv_files
 from daybook.sources import (
     canonical_columns,
     match_header,
@@ -221,3 +222,11 @@ def test_a_column_called_like_a_derived_one_does_no_harm(spark, tmp_path):
     text = "reporting_start,reporting_end,cost,rejection_reason\n2026-09-01,2026-09-01,5,no\n"
     rows, _ = read_export(spark, write(tmp_path, text), AD_FIELDS)
     assert [r[REASON] for r in flag_ads(rows).collect()] == [None]
+
+
+def test_quotes_are_counted_in_torn_files_only(spark, tmp_path, monkeypatch):
+    whole = write(tmp_path, 'a,b\n1,"x, ""y"""\n2,z"z\n', "whole.csv")
+    torn = write(tmp_path, 'a,b\n1,"x\ny"\n', "torn.csv")
+    assert csv_files._torn_files(spark, str(tmp_path)) == [f"file:{torn}"]
+    monkeypatch.setattr(csv_files.F, "replace", None)  # what counting needs
+    assert csv_files._torn_files(spark, whole) == []
